@@ -356,11 +356,11 @@ SQL = r"""
 with w as (
   select doc_id, list_filter(string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+'), x -> x <> '') as words from documents
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') as words from documents
 ), s as (
   select doc_id, list_distinct(case when len(words) = 0 then []
     when len(words) < 5 then [array_to_string(words, ' ')]
-    else list_transform(range(1, len(words) - 3), i -> array_to_string(words[i:i + 4], ' ')) end) as shingles
+    else list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) end) as shingles
   from w
 ), n as (select doc_id, len(shingles)::bigint as n_shingles from s),
 e as (select doc_id, unnest(shingles) as shingle from s),

@@ -25,7 +25,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if _powers is None or len(_powers[0]) < n:
         inverse = pow(_BASE, -1, 2**64)
         _powers = tuple(
-            np.cumprod(np.concatenate(([1], np.full(n - 1, b))).astype(np.uint64))
+            np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n - 1, b))), dtype=np.uint64)
             for b in (np.uint64(_BASE), np.uint64(inverse))
         )
     return _powers
