@@ -46,14 +46,21 @@ def normal(text: str | None) -> bytes:
     return b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())
 
 
-def _hash_piece(piece: bytes) -> np.ndarray:
+def _hash_piece(piece: bytes, stem: int = 0) -> np.ndarray:
     buf = np.frombuffer(piece, dtype=np.uint8)
     up, down = _power_tables(max(PIECE + 1, len(buf) + 1))
     sums = np.zeros(len(buf) + 1, dtype=np.uint64)
     np.cumsum(_BYTES[buf] * up[: len(buf)], out=sums[1:])
     ends = np.flatnonzero(buf == 32)
     starts = np.concatenate(([0], ends[:-1] + 1))
-    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    value = lambda to: mixed((sums[to] - sums[starts]) * down[starts] + (to - starts).astype(np.uint64))
+    if not stem:
+        return value(ends)
+    # a column more: the hash of each word's first characters
+    chars = np.flatnonzero((buf & 0xC0) != 0x80)
+    first = np.searchsorted(chars, starts)
+    cut = np.minimum(chars[np.minimum(first + stem, len(chars) - 1)], ends)
+    return np.stack((value(ends), value(cut)), axis=1)
 
 
 def _pieces(body: bytes) -> Iterator[bytes]:
@@ -68,12 +75,15 @@ def _pieces(body: bytes) -> Iterator[bytes]:
     yield body[at:] if at else body
 
 
-def word_hashes(body: bytes) -> np.ndarray:
-    """Hashes of the words of one normalised text that ends with a space."""
-    return np.concatenate([_hash_piece(p) for p in _pieces(body)]) if body else np.zeros(0, np.uint64)
+def word_hashes(body: bytes, stem: int = 0) -> np.ndarray:
+    """Hashes of the words of one normalised text that ends with a space; with
+    ``stem``, a second column hashes each word's first ``stem`` characters."""
+    if not body:
+        return np.zeros((0, 2) if stem else 0, np.uint64)
+    return np.concatenate([_hash_piece(p, stem) for p in _pieces(body)])
 
 
-def batch_word_hashes(bodies: list[bytes]) -> Iterator[np.ndarray]:
+def batch_word_hashes(bodies: list[bytes], stem: int = 0) -> Iterator[np.ndarray]:
     """The same for many normalised texts (no space at the end), in order."""
     group: list[bytes] = []
     size = 0
@@ -81,7 +91,7 @@ def batch_word_hashes(bodies: list[bytes]) -> Iterator[np.ndarray]:
     def flush() -> Iterator[np.ndarray]:
         counts = [b.count(b" ") + 1 if b else 0 for b in group]
         joined = b" ".join(b for b in group if b) + b" "
-        flat = word_hashes(joined) if joined != b" " else np.zeros(0, np.uint64)
+        flat = word_hashes(joined if joined != b" " else b"", stem)
         at = 0
         for n in counts:
             yield flat[at : at + n]
