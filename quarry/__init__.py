@@ -1,0 +1,9 @@
+"""Dataset curation and training-data preparation on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions shipped to Python workers carry their code along, so that executors
+# need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
