@@ -43,9 +43,12 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPE
             / (F.col("all_weight") - F.col("weight_before")),
         )
     )
-    # the level is that of the first source whose cap it doesn't reach
-    fits = F.when(F.col("cap") >= F.col("level") * F.col("weight"), F.col("level"))
-    return ranked.withColumn("level", F.min(fits).over(every)).select(
+    # the level is that of the first source, by cap per weight, whose cap it doesn't reach
+    fits = F.when(
+        F.col("cap") >= F.col("level") * F.col("weight"),
+        F.struct((F.col("cap") / F.col("weight")).alias("by"), "no", "level"),
+    )
+    return ranked.withColumn("level", F.min(fits).over(every)["level"]).select(
         "source",
         "source_size",
         F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight")).alias("target"),
@@ -164,7 +167,7 @@ with s as (
   from w
 ), g as (
   select source, source_size,
-    least(cap::double, min(case when cap >= level * weight then level end) over () * weight) as target
+    least(cap::double, (select level from l where cap >= level * weight order by cap / weight, no limit 1) * weight) as target
   from l
 ), e as (
   select *, case when source_size > 0 then target / source_size else 0.0 end as expected,

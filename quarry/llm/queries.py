@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import exact_dedup, jaccard_join, line_dedup, mixing
+from quarry.llm import (
+    chat,
+    exact_dedup,
+    importance,
+    jaccard_join,
+    line_dedup,
+    mixing,
+    quality_rules,
+    sentencepiece,
+    toxicity,
+    warc,
+)
 from quarry.llm.base import read
 
 
@@ -33,12 +44,48 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return importance.resample(docs, importance.good_texts(docs, read(spark, sf_dir, "labels")))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(read(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encode(read(spark, sf_dir, "documents"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(read(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.transform("masks", lambda m: F.concat_ws("+", m["start"], m["length"]))
+    return chat.rotate_perspectives(read(spark, sf_dir, "conversations")).withColumn(
+        "masks", F.array_join(spans, ",")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_importance": op2_importance,
         "op3_mixing": op3_mixing,
+        "op4_quality_rules": op4_quality_rules,
         "op5_line_dedup": op5_line_dedup,
+        "op6_sentencepiece": op6_sentencepiece,
+        "op7_warc": op7_warc,
         "op8_jaccard_join": op8_jaccard_join,
+        "op9_toxicity": op9_toxicity,
+        "op10_chat": op10_chat,
     }
 
 
@@ -55,6 +102,9 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": EXACT_SQL,
         "op3_mixing": mixing.SQL,
+        "op4_quality_rules": quality_rules.sql(),
         "op5_line_dedup": line_dedup.SQL,
+        "op7_warc": warc.SQL,
         "op8_jaccard_join": jaccard_join.SQL,
+        "op10_chat": chat.SQL,
     }
