@@ -23,10 +23,9 @@ FREQUENT = 1 << 17
 CHUNK, REPORT = 1 << 22, 1 << 13
 #: Postings of a frequent shingle are spread over so many tasks.
 SALT = 64
-#: ell is 1 + size // ELL[i]: the next entry when the estimated cost is higher.
-ELL = (32, 16, 8)
-#: Estimated candidates of a document from which on it takes the next ell.
-COSTLY = 64
+#: ell is 1 + size // ELL[i], the first whose prefix costs less than COSTLY
+#: estimated candidates, or else 1.
+ELL, COSTLY = (32, 128), 64
 
 
 def unmatched(n: int, num: int, den: int) -> int:
@@ -92,7 +91,7 @@ def _describe(k: int) -> Callable:
 
 
 def _post(k: int, num: int, den: int, frequent) -> Callable:
-    """Rows (token, id, size, ell, prefix, often) of each document's prefix."""
+    """Rows (token, id, size, ell, pos, often) of each document's prefix."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, weights = frequent.value
@@ -117,15 +116,16 @@ def _post(k: int, num: int, den: int, frequent) -> Callable:
                         order = np.lexsort((s, weight))
                         s, weight = s[order], weight[order]
                 spare = unmatched(n, num, den)
-                most = n - spare  # a pair shares so many shingles at least
+                ell = 1
                 for step in ELL:
-                    ell = min(1 + n // step, most)
-                    if weight[: spare + ell].sum() / ell < COSTLY:
+                    longer = min(1 + n // step, n - spare)
+                    if weight[: spare + longer].sum() < COSTLY:
+                        ell = longer
                         break
                 p = spare + ell
                 for column, x in zip(
                     out,
-                    (s[:p].view(np.int64), np.full(p, i), np.full(p, n), np.full(p, ell), np.full(p, p), weight[:p] > 0),
+                    (s[:p].view(np.int64), np.full(p, i), np.full(p, n), np.full(p, ell), np.arange(1, p + 1), weight[:p] > 0),
                 ):
                     column.append(x)
             if out[0]:
@@ -134,13 +134,13 @@ def _post(k: int, num: int, den: int, frequent) -> Callable:
                         pa.array(np.concatenate(c).astype(t))
                         for c, t in zip(out, ("i8", "i8", "i4", "i4", "i4", "?"))
                     ],
-                    ["token", "id", "size", "ell", "prefix", "often"],
+                    ["token", "id", "size", "ell", "pos", "often"],
                 )
 
     return post
 
 
-POSTING = "token long, id long, size int, ell int, prefix int, often boolean"
+POSTING = "token long, id long, size int, ell int, pos int, often boolean"
 
 
 def _shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,21 +224,23 @@ def near_duplicates(
     hash, then the frequent ones by estimated number of documents.  A document
     indexes a prefix of (size - ceil(threshold * size)) + ell shingles; two
     documents that link share the first min(ell_a, ell_b) of their common ones
-    inside both prefixes.  ell grows with the document's estimated candidate
-    cost, and so does the number of shared prefix shingles that a pair needs
-    before it is verified.
+    inside both prefixes.  The prefix is lengthened as far as its estimated
+    candidates stay few, and with it the number of shared prefix shingles that a
+    pair needs before it is verified; where it would reach into frequent
+    shingles, it stays as short as it can.
 
     Work follows links, not pairs.  Equal word sequences form classes by a
     128-bit digest and join as one.  Every list of a prefix shingle first offers
     only pairs with its most central document (the one whose prefix is most
     shared); after those are verified and joined into components, all pairs
-    that share enough prefix shingles but lie in different components are
-    verified too, each list against its largest component.  So a large group of
+    that share enough prefix shingles, near enough to the front for both sizes,
+    but lie in different components are verified too, each list against its
+    largest component.  So a large group of
     near copies costs about its size, and no link between components is lost.
 
     Lists live in sorted shuffles and are read as streams; frequent shingles are
-    spread over tasks; texts of candidates move, not those of all documents
-    beyond one shuffle.
+    spread over tasks; texts meet the ids of candidates in a shuffle, and
+    only candidates' texts go on.
 
     Defined cases: a null or empty text has no shingles and links with nothing;
     null ids link with nothing and have a null component; rows repeated under
@@ -261,6 +263,7 @@ def near_duplicates(
         info.where("size > 0 and id is not null").groupBy("d1", "d2")
         .agg(F.min("id").alias("class_id"), F.count("*").alias("n")).where("n > 1").drop("n")
     )
+    classes = Table(classes, "classes").df  # joins with it can split a hot class
     copies = Table(
         info.where("size > 0").join(classes, ["d1", "d2"]).where("id <> class_id").select("id", "class_id").distinct(),
         "copies",
@@ -274,24 +277,21 @@ def near_duplicates(
         .drop("salt")
     )
     lists = Table(postings.mapInArrow(_shared_only, POSTING), "lists")
-    # copies stand for their class
+    # copies stand for their class; the more of its prefix a document shares, the
+    # more central it is
     own = lists.df.join(copies, "id", "left").select(
-        "token", F.coalesce("class_id", "id").alias("id"), "size", "ell", "prefix"
+        "token", F.coalesce("class_id", "id").alias("id"), "size", "ell", "pos"
     ).distinct()
-    # a document without enough shared shingles for its smallest partner has no link
-    nearest = F.expr(f"1 + cast(floor(size * {num} / {den} / {ELL[0]}) as int)")
-    enough = (
-        own.groupBy("id", "size", "ell", "prefix").agg(F.count("*").alias("hits"))
-        .where(F.col("hits") >= F.least(F.col("ell"), nearest))
-        .withColumn("score", F.col("hits") / F.col("prefix"))
-    )
-    candidates = Table(enough.select("id", "score"), "candidates").df
-    live = Table(own.join(candidates, "id").select("token", "id", "size", "ell", "score"), "live").df
+    prefix = F.col("size") - F.floor((F.col("size") * num + den - 1) / den) + F.col("ell")
+    scores = own.groupBy("id").agg((F.count("*") / F.first(prefix)).alias("score"))
+    live = Table(own.join(Table(scores, "scores").df, "id"), "live").df
     lists.drop()
-    texts = Table(
-        rows.join(candidates.select("id").distinct(), "id", "left_semi").mapInArrow(_normal, "id long, body binary"),
-        "candidate-texts",
-    ).df
+
+    def texts_of(pairs: DataFrame) -> DataFrame:
+        ids = Table(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "candidates").df
+        return Table(
+            rows.join(ids, "id", "left_semi").mapInArrow(_normal, "id long, body binary"), "candidate-texts"
+        ).df
 
     # pairs with the centre of each list
     centres = (
@@ -300,18 +300,18 @@ def near_duplicates(
     )
     fits = lambda x, y: (F.col(x) * den >= F.col(y) * num) & (F.col(y) * den >= F.col(x) * num)
     stars = Table(
-        live.join(centres, "token").where(F.col("id") != F.col("hub")).where(fits("size", "hub_size"))
+        live.join(Table(centres, "centres").df, "token").where(F.col("id") != F.col("hub")).where(fits("size", "hub_size"))
         .groupBy(F.col("hub").alias("a"), F.col("id").alias("b"))
         .agg(F.count("*").alias("shared"), F.min(F.least("ell", "hub_ell")).alias("need"))
         .where("shared >= need"),
         "stars",
     ).df
-    near = _check(stars, texts, k, num, den).df
+    near = _check(stars, texts_of(stars), k, num, den).df
     first = Table(components(near), "components").df
 
     # what still lies in different components
     placed = live.join(first, "id", "left").select(
-        "token", "id", "size", "ell", F.coalesce("component", "id").alias("component")
+        "token", "id", "size", "ell", "pos", F.coalesce("component", "id").alias("component")
     )
     placed = Table(placed, "placed").df
     crowds = (
@@ -319,25 +319,31 @@ def near_duplicates(
         .groupBy("token").agg(F.max(F.struct("n", "component")).alias("m"), F.count("*").alias("parts"))
         .where("parts > 1").select("token", F.col("m.component").alias("main"))
     )
-    mixed_lists = placed.join(crowds, "token")
+    mixed_lists = Table(placed.join(Table(crowds, "crowds").df, "token"), "mixed-lists").df
     few = mixed_lists.where("component <> main").select(
-        "token", F.col("id").alias("a"), F.col("size").alias("a_size"), F.col("ell").alias("a_ell"), F.col("component").alias("a_component")
-    )
+        "token", *(F.col(c).alias(f"a_{c}") for c in ("id", "size", "ell", "pos", "component"))
+    )
+    # a pair that links shares o shingles, so that the ell-th common one stands at
+    # size - o + ell at the latest, in either document
+    least_common = f"cast(ceil({num} * (size + a_size) / {num + den}) as int)"
+    near_front = " and ".join(
+        f"{x}pos <= {x}size - {least_common} + least(ell, a_ell)" for x in ("", "a_")
+    )
     cross = (
         few.join(mixed_lists, "token")
-        .where("a_component <> component and (component = main or a < id)")
-        .where(fits("size", "a_size"))
-        .groupBy(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))
+        .where("a_component <> component and (component = main or a_id < id)")
+        .where(fits("size", "a_size")).where(near_front)
+        .groupBy(F.least("a_id", "id").alias("a"), F.greatest("a_id", "id").alias("b"))
         .agg(F.count("*").alias("shared"), F.min(F.least("ell", "a_ell")).alias("need"))
         .where("shared >= need")
         .join(
             stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"
         )
-    )
+    )
     crossed = Table(cross.select("a", "b"), "cross").df
     linked = first
     if not crossed.isEmpty():
-        more = _check(crossed, texts, k, num, den).df
+        more = _check(crossed, texts_of(crossed), k, num, den).df
         if not more.isEmpty():
             linked = Table(components(near.union(more)), "components").df
 
