@@ -105,7 +105,7 @@ def exact_dedup(
             F.count("*").alias("n"), F.min("id").alias("first"), F.min("rid").alias("next")
         )
         level = Table(
-            digits.join(split, ["node", "digit", "ended"]).select(
+            digits.join(Table(split, "radix-split").df, ["node", "digit", "ended"]).select(
                 "id",
                 "sha",
                 "rid",

@@ -62,7 +62,7 @@ def line_dedup(
         .where(F.col("n") >= min_docs)
     )
     hits = Table(
-        table.df.join(shared, ["h1", "h2"])
+        table.df.join(Table(shared, "shared-keys").df, ["h1", "h2"])
         .where(~F.col("doc_id").eqNullSafe(F.col("holder")))
         .select(F.col("doc_id").alias("gone_id"), F.col("row").alias("gone_row"), "pos"),
         "shared-lines",

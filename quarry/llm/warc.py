@@ -47,7 +47,7 @@ def records(pages: DataFrame, min_payload: int = MIN_PAYLOAD) -> DataFrame:
         .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     )
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return rows.join(first, F.col("payload_digest") == F.col("d"), "left").select(
+    return rows.join(Table(first, "first-payloads").df, F.col("payload_digest") == F.col("d"), "left").select(
         "page_id", "url", "payload_bytes", "payload_digest",
         F.when(again, "").otherwise(F.col("payload")).alias("payload"),
         F.when(again, "revisit").otherwise("response").alias("record_type"),
