@@ -34,8 +34,8 @@ def exact_dedup(
     compared: no digest decides.
 
     Groups are counted by a partial aggregation, so a hot group reaches the
-    shuffle as one row a task; the counts return to the documents by a join
-    whose skewed partitions Spark can split.  Each round is written to the
+    shuffle as one row a task; the counts return to the documents by a sort-merge
+    join, the same plan at every size, whose skewed partitions Spark can split.  Each round is written to the
     shared folder, and a round moves only documents that still have a twin.
 
     Returns one row per input row: ``doc_id, keep_id, group_size, kept,
@@ -74,7 +74,7 @@ def exact_dedup(
     )
     keep = F.expr("case when n is null then id when ended then first end")
     level = Table(
-        texts.join(groups.df, ["digit", "ended"], "left").select(
+        texts.join(groups.df.hint("merge"), ["digit", "ended"], "left").select(
             "id",
             "sha",
             F.monotonically_increasing_id().alias("rid"),
@@ -105,7 +105,7 @@ def exact_dedup(
             F.count("*").alias("n"), F.min("id").alias("first"), F.min("rid").alias("next")
         )
         level = Table(
-            digits.join(Table(split, "radix-split").df, ["node", "digit", "ended"]).select(
+            digits.join(Table(split, "radix-split").df.hint("merge"), ["node", "digit", "ended"]).select(
                 "id",
                 "sha",
                 "rid",
