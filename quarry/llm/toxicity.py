@@ -21,7 +21,7 @@ COUNTED, CALIBRATED = 4000, 4000
 #: The absolute discount as a share of the documents counted per class, and its
 #: least value.  It leaves to the shared backoff what few documents say; a ratio
 #: of Kneser-Ney estimates doesn't fall by itself where counts are small.
-DISCOUNT_SHARE, LEAST_DISCOUNT = 0.03, 10.0
+DISCOUNT_SHARE, LEAST_DISCOUNT = 0.03, 12.0
 #: The words whose likelihoods are compared together.
 WINDOW = 16
 #: Characters at the start of a word that its unseen forms share with it, and the
