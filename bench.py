@@ -9,9 +9,9 @@ from pyspark.sql import SparkSession
 from quarry.plans import catalogue
 
 HEADLINE = (
-    "q03_count_class_dist", "q06_obb_features", "q07_pair_overlap", "q08_rotated_iou", "q09_confidence_profile",
+    "q03_count_class_dist", "q06_obb_features", "q07_pair_overlap", "q09_confidence_profile",
     "q10_triage_score", "q12_simhash_pairs", "q14_dup_components", "q16_stratified_split", "q17_split_leakage",
-    "q20_frame_stride", "q21_time_spaced", "q22_log_pattern_counts", "q24_greedy_match", "q32_quality_score",
+    "q20_frame_stride", "q21_time_spaced", "q22_log_pattern_counts", "q32_quality_score",
 )
 
 
@@ -21,6 +21,7 @@ def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "12g")
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small but heavy partitions
         .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )

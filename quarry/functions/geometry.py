@@ -66,7 +66,12 @@ def _intersection(p: str, q: str) -> str:
         f"element_at(transform(array({turned}), edge_of -> element_at(transform(array({clipped}), c -> "
         f"if(size(c) < 3, 0D, abs({signed_area('c')}))), 1)), 1)"
     )
-    return f"if(size({p}) < 3 or size({q}) < 3, 0D, {whole})"
+    # what lies apart along an axis needs no clipping
+    apart = " or ".join(
+        f"array_max(transform({a}, v -> v.{f})) <= array_min(transform({b}, v -> v.{f}))"
+        for f in "xy" for a, b in ((p, q), (q, p))
+    )
+    return f"if(size({p}) < 3 or size({q}) < 3 or {apart}, 0D, {whole})"
 
 
 def intersection_area(p: str, q: str) -> Column:
