@@ -20,7 +20,8 @@ from quarry.llm.shingles import batch_word_hashes, mixed
 COUNTED, CALIBRATED = 4000, 4000
 #: The absolute discount as a share of the documents counted per class, and its
 #: least value.  It leaves to the shared backoff what few documents say; a ratio
-#: of Kneser-Ney estimates doesn't fall by itself where counts are small.
+#: of Kneser-Ney estimates doesn't fall by itself where counts are small.  Both are
+#: held against labels of remainder 3, learning from remainders 0 and 1 (README).
 DISCOUNT_SHARE, LEAST_DISCOUNT = 0.03, 12.0
 #: The words whose likelihoods are compared together.
 WINDOW = 16
