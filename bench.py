@@ -2,6 +2,7 @@
 
 import json
 import os
+import sys
 import time
 
 from pyspark.sql import SparkSession
@@ -32,6 +33,7 @@ def main() -> None:
         began = time.perf_counter()
         queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - began, 3)
+        print(name, seconds[name], file=sys.stderr, flush=True)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     total = round(sum(seconds.values()), 3)
     print(json.dumps({"metric": "total_seconds", "value": total, "unit": "sec", "queries": seconds, "sf": sf}))
