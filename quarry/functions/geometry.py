@@ -1,8 +1,13 @@
-"""Oriented boxes as arrays of corner structs; all built-in expressions."""
+"""Oriented boxes as arrays of corner structs: built-in expressions, and for many
+pairs of boxes a clip of whole Arrow batches."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 POLYGON = "array<struct<x:double,y:double>>"
@@ -92,6 +97,76 @@ def overlap_of_smaller(p: str, q: str) -> Column:
     return intersection_area(p, q) / F.greatest(F.lit(1.0), F.least(area(p), area(q)))
 
 
+def _corners(column: pa.Array) -> np.ndarray:
+    """(rows, most corners, 2); shorter polygons repeat their first corner, which
+    changes neither area nor clip, and missing ones are a point."""
+    size = np.asarray(column.value_lengths().fill_null(0), dtype=np.int64)
+    flat = column.flatten()
+    xy = np.column_stack([np.asarray(flat.field(i), dtype=float) for i in (0, 1)])
+    xy = np.vstack((xy, [[0.0, 0.0]]))
+    start = np.cumsum(size) - size
+    i = np.arange(max(int(size.max(initial=0)), 1))
+    at = start[:, None] + np.where(i < size[:, None], i, 0)
+    return xy[np.where(size[:, None] > 0, at, len(xy) - 1)]
+
+
+def _signed_areas(p: np.ndarray) -> np.ndarray:
+    n = np.roll(p, -1, axis=1)
+    return (p[:, :, 0] * n[:, :, 1] - n[:, :, 0] * p[:, :, 1]).sum(axis=1) / 2
+
+
+def _common_areas(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Each p clipped by the edges of its q; corners that are left move to the
+    front, and the places behind them repeat the first."""
+    q = np.where((_signed_areas(q) < 0)[:, None, None], q[:, ::-1], q)
+    for i in range(q.shape[1]):
+        a, edge = q[:, i, None], (q[:, (i + 1) % q.shape[1]] - q[:, i])[:, None]
+        here = edge[..., 0] * (p[..., 1] - a[..., 1]) - edge[..., 1] * (p[..., 0] - a[..., 0])
+        u, there = np.roll(p, 1, axis=1), np.roll(here, 1, axis=1)
+        inside, crossed = here >= 0, (here >= 0) != (there >= 0)
+        t = there / np.where(crossed, there - here, 1.0)
+        points = np.stack((u + t[..., None] * (p - u), p), axis=2).reshape(len(p), 2 * p.shape[1], 2)
+        left = np.stack((crossed, inside), axis=2).reshape(len(p), 2 * p.shape[1])
+        order = np.argsort(~left, axis=1, kind="stable")[:, : max(int(left.sum(axis=1).max(initial=0)), 1)]
+        points = np.take_along_axis(points, order[..., None], axis=1)
+        p = np.where(np.take_along_axis(left, order, axis=1)[..., None], points, points[:, :1])
+    return np.abs(_signed_areas(p))
+
+
+def with_areas(pairs: DataFrame, p: str, q: str) -> DataFrame:
+    """``area_p, area_q, area_both`` in place of two columns of convex polygons; what
+    ``intersection_area`` gives, a batch at a time.  Null polygons have area 0."""
+    rest = [c for c in pairs.columns if c not in (p, q)]
+
+    def clip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = _corners(batch.column(0)), _corners(batch.column(1))
+            both = np.zeros(len(a))
+            # what lies apart along an axis needs no clipping
+            meet = ((a.max(axis=1) > b.min(axis=1)) & (b.max(axis=1) > a.min(axis=1))).all(axis=1)
+            both[meet] = _common_areas(a[meet], b[meet])
+            areas = (np.abs(_signed_areas(a)), np.abs(_signed_areas(b)), both)
+            yield pa.record_batch(
+                [*batch.columns[2:], *(pa.array(x) for x in areas)],
+                [*rest, "area_p", "area_q", "area_both"],
+            )
+
+    schema = pairs.select(*rest).schema
+    for name in ("area_p", "area_q", "area_both"):
+        schema = schema.add(name, "double")
+    return pairs.select(p, q, *rest).mapInArrow(clip, schema)
+
+
+def with_iou(pairs: DataFrame, p: str, q: str) -> DataFrame:
+    """``iou`` in place of two polygon columns; 0 where an area, or the union, is not positive."""
+    union = F.col("area_p") + F.col("area_q") - F.col("area_both")
+    real = (F.col("area_p") > 0) & (F.col("area_q") > 0) & (union > 0)
+    return (
+        with_areas(pairs, p, q).withColumn("iou", F.when(real, F.col("area_both") / union).otherwise(0.0))
+        .drop("area_p", "area_q", "area_both")
+    )
+
+
 def long_axis(p: str) -> Column:
     """struct(angle, ratio) of the first longest edge: degrees in [0, 180), and its
     length over the shorter neighbour's; nulls for a degenerate box."""

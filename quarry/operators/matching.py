@@ -29,10 +29,8 @@ def overlaps(gt: DataFrame, pred: DataFrame, same_class: bool = True) -> DataFra
     if same_class:
         pairs = pairs.where("g_cls = p_cls")
     meet = "gx0 < px1 and px0 < gx1 and gy0 < py1 and py0 < gy1"
-    return (
-        pairs.where(meet).withColumn("iou", geometry.iou("gp", "pp"))
-        .select("image", "gt_index", "pred_index", "iou", "conf")
-    )
+    near = pairs.where(meet).select("image", "gt_index", "pred_index", "gp", "pp", "conf")
+    return geometry.with_iou(near, "gp", "pp").select("image", "gt_index", "pred_index", "iou", "conf")
 
 
 def greedy_match(candidates: DataFrame, least_iou: float = MATCH_IOU) -> DataFrame:
@@ -128,8 +126,9 @@ def pair_overlaps(boxes: DataFrame, least: float = 0.15) -> DataFrame:
     whether any pair overlaps (strictly, whatever the areas)."""
     a = boxes.select("image", F.col("index").alias("i"), F.col("poly").alias("p"))
     b = boxes.select("image", F.col("index").alias("j"), F.col("poly").alias("q"))
-    pairs = a.join(b, "image").where("i < j").withColumn("o", F.coalesce(geometry.overlap_of_smaller("p", "q"), F.lit(0.0)))
-    real = (geometry.area("p") > 1) & (geometry.area("q") > 1)
+    pairs = geometry.with_areas(a.join(b, "image").where("i < j").select("image", "p", "q"), "p", "q")
+    pairs = pairs.withColumn("o", F.col("area_both") / F.greatest(F.lit(1.0), F.least("area_p", "area_q")))
+    real = (F.col("area_p") > 1) & (F.col("area_q") > 1)
     return pairs.groupBy("image").agg(
         F.count_if(real).alias("pairs"),
         F.count_if(real & (F.col("o") >= least)).alias("overlapping"),

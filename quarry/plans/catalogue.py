@@ -140,7 +140,7 @@ def q08_rotated_iou(spark, sf):
     boxes = _boxes(spark, sf)
     a = boxes.select("image", F.col("index").alias("i"), F.col("poly").alias("p"))
     b = boxes.select("image", F.col("index").alias("j"), F.col("poly").alias("q"))
-    return a.join(b, "image").where("i < j").select("image", "i", "j", F.round(geometry.iou("p", "q"), 6).alias("iou"))
+    return geometry.with_iou(a.join(b, "image").where("i < j"), "p", "q").withColumn("iou", F.round("iou", 6))
 
 
 @query("""

@@ -56,6 +56,24 @@ def polygons(spark, p, q):
     return spark.createDataFrame([(to(p), to(q))], f"p {geometry.POLYGON}, q {geometry.POLYGON}")
 
 
+def test_areas_by_batch_equal_the_expression(spark):
+    box = lambda a, b: geometry.box(
+        F.col("id") * a % 7 * 1.5, F.col("id") * b % 5 * 1.25, F.col("id") % 4 + 1.5, F.col("id") % 3 + 0.5, F.col("id") * a / 10.0
+    )
+    rows = spark.range(400).withColumn("p", box(3, 2)).withColumn("q", F.reverse(box(5, 7)))
+    rows = rows.union(rows.selectExpr("id + 400", "p", "p")).union(rows.limit(9).selectExpr("id + 900", "slice(p, 1, 3)", "q"))
+    wanted = {r.id: r.iou for r in rows.select("id", geometry.iou("p", "q").alias("iou")).collect()}
+    found = {r.id: r.iou for r in geometry.with_iou(rows, "p", "q").collect()}
+    assert found == pytest.approx(wanted, abs=1e-9)
+    odd = spark.sql("select * from values (1), (2), (3) t(id)").select(
+        "id",
+        F.when(F.col("id") == 1, geometry.aabb(F.lit(0), F.lit(0), F.lit(1), F.lit(1))).alias("p"),
+        F.when(F.col("id") == 2, geometry.aabb(F.lit(0), F.lit(0), F.lit(1), F.lit(1))).alias("q"),
+    )
+    assert [r.iou for r in geometry.with_iou(odd, "p", "q").collect()] == [0.0] * 3
+    assert geometry.with_iou(odd.where("id > 3"), "p", "q").collect() == []
+
+
 def test_intersection(spark):
     square = [(0, 0), (4, 0), (4, 4), (0, 4)]
     shifted = [(2, 2), (2, 6), (6, 6), (6, 2)]  # clockwise
