@@ -16,18 +16,16 @@ from quarry.llm.shingles import batch_word_hashes, mixed
 
 #: Labelled documents per class that the models count, and labelled documents of
 #: any class, none of them counted, that calibrate the score.  These bound what
-#: the driver holds (bigrams seen once stay out of it).
+#: the driver holds.
 COUNTED, CALIBRATED = 4000, 4000
-#: The absolute discount as a share of the documents counted per class, and its
-#: least value.  It leaves to the shared backoff what few documents say; a ratio
-#: of Kneser-Ney estimates doesn't fall by itself where counts are small.  Both are
-#: held against labels of remainder 3, learning from remainders 0 and 1 (README).
-DISCOUNT_SHARE, LEAST_DISCOUNT = 0.03, 12.0
 #: The words whose likelihoods are compared together.
 WINDOW = 16
-#: Characters at the start of a word that its unseen forms share with it, and the
-#: log ratio from which on a word speaks for toxicity by itself.
-STEM, STRONG, FEATURES = 5, 1.5, 4
+#: Characters at the start of a word that its unseen forms share with it.
+STEM = 5
+#: Log ratios from which on a word speaks for toxicity by itself.  The calibration
+#: learns how much what exceeds each of them says: small ones come by chance too.
+STRONG = (1.0, 2.0, 3.0, 4.0, 5.0)
+FEATURES = 2 + len(STRONG)
 #: From this score on a document is predicted to be toxic.
 THRESHOLD = 0.3
 _STEP = np.uint64(0x9FB21C651E98DF25)
@@ -70,18 +68,19 @@ COUNTS = "toxic int, word long, stem long, before long, ahead long"
 
 @dataclass
 class Model:
-    """Sorted hashes and, in the same order, values per class (ordinary, toxic);
-    the last place of each stands for what was never counted."""
+    """Sorted hashes and, in the same order, values per class (ordinary, toxic) and
+    of both together; the last place of each stands for what was never counted."""
 
     stems: np.ndarray
-    stem_p: np.ndarray  # (2, stems + 1): interpolated probability of the stem
+    stem_p: np.ndarray  # (3, stems + 1): interpolated probability of the stem
     words: np.ndarray
-    word_p: np.ndarray  # (2, words + 1): discounted share of the word
+    word_p: np.ndarray  # (3, words + 1): discounted share of the word
     word_s: np.ndarray  # (words + 1): share of the word in its stem, in either class
-    rest: np.ndarray  # (2): weight that words give to stems
-    backoff: np.ndarray  # (2, words + 1): weight that bigrams starting there give to words
+    rest: np.ndarray  # (3): weight that words give to stems
+    backoff: np.ndarray  # (3, words + 1): weight that bigrams starting there give away
+    mass: np.ndarray  # (3, words + 1): count of bigrams starting there, 1 at least
     pairs: np.ndarray
-    pair_p: np.ndarray  # (2, pairs + 1): discounted share of the bigram
+    pair_n: np.ndarray  # (3, pairs + 1): discounted count of the bigram
     weights: np.ndarray  # calibration: bias, and one for each feature
 
     def ratios(self, h: np.ndarray) -> np.ndarray:
@@ -90,25 +89,27 @@ class Model:
         stem = _find(self.stems, h[:, 1])
         p = self.word_p[:, at] + self.rest[:, None] * self.stem_p[:, stem] * self.word_s[at]
         if len(h) > 1:
-            pair = _find(self.pairs, _bigrams(h[:, 0]))
-            p[:, 1:] = self.pair_p[:, pair] + self.backoff[:, at[:-1]] * p[:, 1:]
+            before = at[:-1]
+            pair = self.pair_n[:, _find(self.pairs, _bigrams(h[:, 0]))] / self.mass[:, before]
+            start = self.backoff[:, before]
+            # a class's bigrams back off to those of both, as much more or less
+            # likely as the class makes the word
+            shared = pair[2] / p[2, 1:] + start[2]
+            p[:2, 1:] = pair[:2] + start[:2] * shared * p[:2, 1:]
         return np.log(p[1]) - np.log(p[0])
 
     def features(self, h: np.ndarray) -> tuple[float, ...]:
-        """Per word of the document: the ratio, what it exceeds STRONG by, and
-        what words that often stand in toxic texts add; and the largest mean
-        ratio of a window."""
+        """The mean ratio of the document's words, the largest mean ratio of a
+        window, and how much the ratios exceed each value of STRONG in all."""
         if not len(h):
             return (0.0,) * FEATURES
         r = self.ratios(h)
         sums = np.concatenate(([0.0], np.cumsum(r)))
         w = min(WINDOW, len(r))
-        strong = np.maximum(r - STRONG, 0)
         return (
             float(sums[-1] / len(r)),
-            float(strong.mean() * 10),
             float((sums[w:] - sums[:-w]).max() / w),
-            float(np.log1p(strong.sum())),
+            *(float(np.log1p(np.maximum(r - k, 0).sum())) for k in STRONG),
         )
 
     def scores(self, features: np.ndarray) -> np.ndarray:
@@ -145,9 +146,8 @@ def held_out():
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> tuple[int, DataFrame, DataFrame]:
-    """The number of documents to count per class, and bounded samples (text,
-    toxic): those to count, and those to calibrate on."""
+def labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bounded samples (text, toxic): those to count, and those to calibrate on."""
     known = (
         labels.select("doc_id", "toxic")
         .where("doc_id is not null and toxic in (0, 1)")
@@ -163,81 +163,109 @@ def labelled(docs: DataFrame, labels: DataFrame) -> tuple[int, DataFrame, DataFr
     counted = pick(toxic, n).union(pick(known.where((fold > 0) & (F.col("toxic") == 0)), n))
     texts = docs.select("doc_id", "text").where("text is not null")
     # at most COUNTED * 2 and CALIBRATED ids of 16 bytes: small enough to broadcast
-    return n, *(
+    return tuple(
         texts.join(F.broadcast(ids.select("doc_id", "toxic")), "doc_id").select("text", "toxic")
         for ids in (counted, pick(known.where(fold == 0), CALIBRATED))
     )
 
 
+def discounts(n1: float, n2: float, n3: float, n4: float) -> np.ndarray:
+    """Kneser-Ney's D1, D2 and D3+ at places 1 to 3 (0 at place 0), from how many
+    counts are 1, 2, 3 and 4; whatever the size of the sample they are below their
+    count.  Where one of these is missing the plain discount stands in, and one
+    half where nothing was counted once or twice."""
+    n = (0, n1, n2, n3, n4)
+    y = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+    own = [k - (k + 1) * y * n[k + 1] / n[k] if n[k] and n[k + 1] else y for k in (1, 2, 3)]
+    return np.array([0.0, *(float(d) if 0 < d < k else y for k, d in zip((1, 2, 3), own))])
+
+
+def taken(counts: np.ndarray) -> np.ndarray:
+    """What the discounts estimated from these counts take of each."""
+    d = discounts(*(int((counts == k).sum()) for k in (1, 2, 3, 4)))
+    return d[np.minimum(counts, 3).astype(np.int64)]
+
+
+def _arrays(df: DataFrame) -> dict[str, np.ndarray]:
+    """The columns, without a copy as pandas."""
+    table = df.toArrow()
+    return {c: table.column(c).to_numpy() for c in table.column_names}
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (before, word, counts) with the two words as one hash."""
+    for batch in batches:
+        before, word = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+        key = pa.array(mixed(before * _STEP + word).view(np.int64))
+        yield pa.record_batch([key, *batch.columns[2:]], ["pair", *batch.schema.names[2:]])
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Count the samples and calibrate; counts are summed by Spark, and the driver
-    gets words and bigrams that the sample holds at least twice."""
-    size, sample, other = labelled(docs, labels)
-    discount = max(LEAST_DISCOUNT, DISCOUNT_SHARE * size)
-    seen = [F.max((F.col("toxic") == c).cast("long")).alias(f"n{c}") for c in (0, 1)]
+    gets the words and bigrams of the bounded sample, however rare."""
+    sample, other = labelled(docs, labels)
+    seen = [F.max((F.col("toxic") == c).cast("int")).alias(f"n{c}") for c in (0, 1)]
     # Kneser-Ney at each level: what stands before it counts, not how often it is
-    # there, so that copies and passages count once
+    # there, so that copies and passages count once; n2 counts in either class
+    sums = [F.sum(f"n{c}").cast("int").alias(f"n{c}") for c in (0, 1)]
     counts = Table(
         sample.mapInArrow(_count, COUNTS).groupBy("word", "stem", "before", "ahead").agg(*seen)
-        .groupBy("word", "stem", "before").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")),
+        .groupBy("word", "stem", "before").agg(*sums, F.count("*").cast("int").alias("n2")),
         "ngram-counts",
     )
     bi = counts.df
-    seen = [F.sum((F.col(f"n{c}") > 0).cast("long")).alias(f"n{c}") for c in (0, 1)]
-    add = [F.sum(f"n{c}").alias(f"s{c}") for c in (0, 1)]
-    freed = [F.sum(F.least(f"n{c}", F.lit(discount))).alias(f"f{c}") for c in (0, 1)]
-    starts = bi.groupBy(F.col("before").alias("word")).agg(*add, *freed)
-    known = bi.groupBy("word", "stem").agg(F.count("*").alias("follows"), *seen)
-    total = known.agg(
-        *(F.sum(c) for c in ("n0", "n1")), *(F.sum(F.least(c, F.lit(discount))) for c in ("n0", "n1"))
-    ).first()
-    stems = (
-        known.groupBy("stem").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("follows").alias("follows"), F.count("*").alias("forms"))
-        .where("n0 + n1 > 1").toPandas()
-    )
-    table = known.where("n0 + n1 > 1").join(starts, "word", "left").fillna(0).toPandas()
-    bigrams = bi.where("n0 + n1 > 1").toPandas()
-    follows = float(bi.count())
+    of_counts = bi.agg(*(F.count(F.when(F.col(f"n{c}") == k, 1)) for c in range(3) for k in (1, 2, 3, 4))).first()
+    pair_d = [discounts(*of_counts[4 * c : 4 * c + 4]) for c in range(3)]
+    loss = lambda c: F.get(F.array(*map(F.lit, pair_d[c].tolist())), F.least(f"n{c}", F.lit(3)))
+    starts = bi.groupBy(F.col("before").alias("word")).agg(
+        *(F.sum(f"n{c}").cast("float").alias(f"m{c}") for c in range(3)),
+        *(F.sum(loss(c)).cast("float").alias(f"f{c}") for c in range(3)),
+    )
+    kinds = [F.count(F.when(F.col(f"n{c}") > 0, 1)).cast("int").alias(f"n{c}") for c in range(3)]
+    table = _arrays(bi.groupBy("word", "stem").agg(*kinds).join(starts, "word", "left").fillna(0))
+    kept = bi.where("before <> 0").select(  # no word stands before 0, where a text begins
+        "before", "word", *((F.col(f"n{c}") - loss(c)).cast("float").alias(f"k{c}") for c in range(3))
+    )
+    pairs = _arrays(kept.mapInArrow(_pairs, "pair long, k0 float, k1 float, k2 float"))
     counts.drop()
 
-    u64 = lambda t, c: t[c].to_numpy(np.int64).view(np.uint64)
-    more = lambda x, last: np.concatenate((x, [last]))
-    stems = stems.iloc[np.argsort(u64(stems, "stem"))]
-    table = table.iloc[np.argsort(u64(table, "word"))]
-    n, loose = (np.array([float(x or 0) for x in total[i : i + 2]]) for i in (0, 2))
-    n1 = np.maximum(n, 1)
-    # shared backoff: how many different words the forms of a stem follow, in either class
-    shared = more(stems["follows"].to_numpy(float) + 0.5, 0.5) / (follows + 0.5 * (len(stems) + 1))
-    own = np.stack([more(stems[f"n{c}"].to_numpy(float), 0.0) for c in (0, 1)])
-    kept = np.maximum(own - discount, 0) / n1[:, None]
-    free = 1 - kept.sum(axis=1)
-    stem_p = kept + free[:, None] * shared
-    word = np.stack([more(table[f"n{c}"].to_numpy(float), 0.0) for c in (0, 1)])
-    at = _find(u64(stems, "stem"), u64(table, "stem"))
-    forms = more(stems["follows"].to_numpy(float) + 0.5 * stems["forms"].to_numpy(float), 1.0)[at]
-    word_s = more((table["follows"].to_numpy(float) + 0.5) / forms, 1e-3)
-    start = np.stack([table[f"s{c}"].to_numpy(float) for c in (0, 1)])
-    backoff = np.ones((2, len(table) + 1))
-    after = np.stack([table[f"f{c}"].to_numpy(float) for c in (0, 1)])
-    backoff[:, :-1] = np.where(start > 0, after / np.maximum(start, 1), 1.0)
-    pairs = mixed(u64(bigrams, "before") * _STEP + u64(bigrams, "word"))
-    order = np.argsort(pairs)
-    mass = np.column_stack((start, [0.0, 0.0]))[:, _find(u64(table, "word"), u64(bigrams, "before")[order])]
-    pair_p = np.zeros((2, len(pairs) + 1))
-    pair = np.stack([bigrams[f"n{c}"].to_numpy(float)[order] for c in (0, 1)])
-    pair_p[:, :-1] = np.where(mass > 0, np.maximum(pair - discount, 0) / np.maximum(mass, 1), 0.0)
+    more = lambda x, last: np.concatenate((x, np.full((*x.shape[:-1], 1), last)), axis=-1)
+    order = np.argsort(table["word"].view(np.uint64))
+    table = {c: x[order] for c, x in table.items()}
+    each = lambda name: np.stack([table[f"{name}{c}"] for c in range(3)]).astype(float)
+    stems, at = np.unique(table["stem"].view(np.uint64), return_inverse=True)
+    word = each("n")
+    own = np.stack([np.bincount(at, x, len(stems)) for x in word])
+    total = np.maximum(word.sum(axis=1), 1)
+    # stems back off to how many different words their forms follow, in either class
+    shared = more(own[2] + 0.5, 0.5) / (own[2].sum() + 0.5 * (len(stems) + 1))
+    less = np.stack([taken(x) for x in own])
+    free = np.where(own.any(axis=1), less.sum(axis=1) / total, 1.0)
+    stem_p = more((own - less) / total[:, None], 0.0) + free[:, None] * shared
+    stem_p[2] = shared
+    less = np.stack([taken(x) for x in word])
+    rest = np.where(word.any(axis=1), less.sum(axis=1) / total, 1.0)
+    forms = own[2] + 0.5 * np.bincount(at, minlength=len(stems))
+    mass = each("m")
+    backoff = np.where(mass > 0, each("f") / np.maximum(mass, 1), 1.0)
+    order = np.argsort(pairs["pair"].view(np.uint64))
+    pair_n = np.zeros((3, len(order) + 1), np.float32)
+    for c in range(3):
+        pair_n[c, :-1] = pairs.pop(f"k{c}")[order]
     model = Model(
-        stems=u64(stems, "stem"), stem_p=stem_p, words=u64(table, "word"),
-        word_p=np.maximum(word - discount, 0) / n1[:, None], word_s=word_s,
-        rest=np.where(n > 0, loose / n1, 1.0), backoff=backoff,
-        pairs=pairs[order], pair_p=pair_p, weights=np.array([-3.0, *[1.0] * FEATURES]),
+        stems=stems, stem_p=stem_p, words=table["word"].view(np.uint64),
+        word_p=more((word - less) / total[:, None], 0.0), word_s=more((word[2] + 0.5) / forms[at], 1e-3),
+        rest=rest, backoff=more(backoff, 1.0), mass=more(np.maximum(mass, 1), 1.0),
+        pairs=pairs["pair"].view(np.uint64)[order], pair_n=pair_n, weights=np.array([-3.0, *[1.0] * FEATURES]),
     )
+    del table, pairs, order, word, less, mass, backoff
     held = docs.sparkSession.sparkContext.broadcast(vars(model))
     names = [f"f{i}" for i in range(FEATURES)]
     rows = (
         other.select(F.col("toxic").cast("long").alias("row"), "text")
         .mapInArrow(_features(held), ", ".join(["row long", *(f"{x} double" for x in names)])).toPandas()
     )
+    held.destroy()
     model.weights = _calibrate(rows[names].to_numpy(float), rows["row"].to_numpy(float))
     return model
 
@@ -279,12 +307,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...] = (), mo
     """``doc_id, held_out, score, predicted`` (and ``carry``) per document.
 
     Two bigram models, of toxic and of ordinary documents, with interpolated
-    Kneser-Ney smoothing: discounted bigrams back off to the class's discounted
-    words, and those to continuation counts shared by both classes, so that a
-    rare expression says nothing until its class is known.  A document's log
-    likelihoods are compared per word over the whole text and in its most toxic
-    window; a logistic function of both, fitted on labelled documents that the
-    models haven't counted, is the score.
+    Kneser-Ney smoothing, whose discounts are estimated at each level from counts
+    of counts: a class's discounted bigrams back off to those of both classes,
+    reweighted by the class's words, and its words to stems and to continuation
+    counts shared by both.  So a rare expression says as much as has been counted
+    of it in either class.  Log likelihoods are compared word by word; a logistic
+    function of their mean, of the most toxic window and of what large ratios add
+    up to, fitted on labelled documents that the models haven't counted, is the
+    score and keeps false alarms few.
 
     Labels are used only from documents outside the held-out fold; text is the
     only input of a score.  Training reads at most ``2 * COUNTED + CALIBRATED``

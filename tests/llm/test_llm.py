@@ -289,3 +289,39 @@ def test_pipeline(spark, corpus, tmp_path):
         docs = after
     final = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
     assert final.where("not lossless").count() == 0 and final.count() == docs.count()
+
+
+def test_toxicity_rare_expressions(spark):
+    """Words and bigrams in few toxic documents keep their weight."""
+    draw = random.Random(6)
+    rows, labels = [], []
+    for i in range(600):
+        words = [draw.choice(WORDS) for _ in range(60)]
+        if i % 2:
+            for k in range(0, 60, 20):
+                words[k] = draw.choice(["idiot", "scum"])
+            if i % 40 == 1:
+                words[10:13] = [draw.choice(WORDS), "gutter", "w1"]
+                words[30:32] = ["w2", "w3"]
+        elif i % 3 == 0:
+            words[10], words[40] = "w2", "w3"
+        rows.append((i, " ".join(words), "s"))
+        labels.append((i, 1, i % 2))
+    docs = documents(spark, rows)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+
+    def ratios(text):
+        return model.ratios(next(toxicity.batch_word_hashes([toxicity.plain(text)], toxicity.STEM)))
+
+    assert ratios("w5 gutter")[1] > 2 and ratios("w2 w3")[1] > 0.5
+    assert abs(ratios("w5 neverseen")[1]) < 0.5 and len(model.pairs) > 1000
+
+
+def test_discounts():
+    """Near 1, and the same for ten times the sample."""
+    counts = (60, 25, 12, 8)
+    d = toxicity.discounts(*counts)
+    assert d[0] == 0 and all(0 < x < k for k, x in enumerate(d) if k)
+    assert list(d) == pytest.approx(list(toxicity.discounts(*(10 * n for n in counts))))
+    y = 60 / (60 + 50)
+    assert list(d[1:]) == pytest.approx([1 - 2 * y * 25 / 60, 2 - 3 * y * 12 / 25, 3 - 4 * y * 8 / 12])
