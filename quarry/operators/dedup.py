@@ -45,7 +45,8 @@ def hamming_pairs(df: DataFrame, key: str, bits: str, radius: int = 5, width: in
 
 
 def verified(pairs: DataFrame, features: DataFrame, key: str, vector: str, least: float = 0.95) -> DataFrame:
-    """Pairs whose feature vectors correlate well enough."""
+    """Pairs whose feature vectors correlate well enough.  Pairs of ``hamming_pairs``
+    are too few for this: its equal hashes may have vectors of many kinds."""
     side = lambda n: features.select(F.col(key).alias(n), F.col(vector).alias(f"v_{n}"))
     return (
         pairs.join(side("a"), "a").join(side("b"), "b")
@@ -54,6 +55,50 @@ def verified(pairs: DataFrame, features: DataFrame, key: str, vector: str, least
     )
 
 
+#: Rows of one (block, value) that a task pairs with the others; more are split.
+CROWD = 1024
+
+
+def similar_pairs(
+    df: DataFrame, key: str, bits: str, vector: str, radius: int = 5, width: int = 64, least: float = 0.95
+) -> DataFrame:
+    """``a, b, distance, correlation``: links that group all ids whose hashes are
+    at most ``radius`` bits apart and whose vectors correlate well enough.
+
+    Only rows equal in hash and vector join as one, by pairs with their smallest
+    id; every two that differ in either are verified.  A crowded block is split
+    over tasks.  Rows without hash or vector link with nothing."""
+    rows = df.where(F.col(bits).isNotNull() & F.col(vector).isNotNull()).select(
+        F.col(key).alias("_key"), F.col(bits).alias("_h"), F.col(vector).alias("_v")
+    )
+    alike = Table(rows.groupBy("_h", "_v").agg(F.min("_key").alias("first")), "alike").df
+    copies = (
+        rows.join(alike, ["_h", "_v"]).where("_key > first")
+        .select(F.col("first").alias("a"), F.col("_key").alias("b"), F.lit(0).alias("distance"), F.lit(1.0).alias("correlation"))
+    )
+    blocks, size = radius + 1, -(-width // (radius + 1))
+    part = lambda h, i: F.shiftrightunsigned(h, i * size).bitwiseAND(F.lit((1 << size) - 1))
+    parts = F.array(*(F.struct(F.lit(i).alias("block"), part("_h", i).alias("value")) for i in range(blocks)))
+    banded = Table(alike.select("_h", "first", F.inline(parts)), "blocks").df
+    crowds = banded.groupBy("block", "value").agg(F.count("*").alias("_n")).where("_n > 1")
+    crowds = Table(crowds.select("block", "value", F.ceil(F.col("_n") / CROWD).cast("int").alias("_tasks")), "crowds").df
+    placed = banded.join(crowds, ["block", "value"])
+    left = placed.withColumn("_salt", F.pmod(F.xxhash64("first"), F.col("_tasks")).cast("int")).drop("_tasks")
+    right = placed.select(
+        "block", "value", F.col("_h").alias("_h2"), F.col("first").alias("second"),
+        F.explode(F.sequence(F.lit(0), F.col("_tasks") - 1)).alias("_salt"),
+    )
+    # a pair comes up in each block that agrees; the first of them has it
+    first_block = F.coalesce(*(F.when(part("_h", i) == part("_h2", i), F.lit(i)) for i in range(blocks)))
+    near = (
+        left.join(right, ["block", "value", "_salt"]).where("first < second").where(F.col("block") == first_block)
+        .withColumn("distance", geometry.hamming("_h", "_h2")).where(F.col("distance") <= radius)
+        .select(F.col("first").alias("a"), F.col("second").alias("b"), "distance")
+    )
+    kept = verified(near, alike, "first", "_v", least).select("a", "b", "distance", "correlation")
+    return copies.unionByName(kept)
+
+
 def nearest(pairs: DataFrame, most: int) -> DataFrame:
     """Optionally the nearest partners of each later row only."""
     w = Window.partitionBy("b").orderBy("distance", "a")

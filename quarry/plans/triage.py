@@ -18,7 +18,7 @@ def triage(metrics: DataFrame, detections: DataFrame, root: str, keep: int = 2,
         "quality_score", F.coalesce(rules.quality_score(), F.lit(0.0))
     )
     usable = flagged.where("readable").withColumn("id", F.xxhash64("path"))
-    pairs = dedup.verified(dedup.hamming_pairs(usable, "id", "phash"), usable, "id", "histogram")
+    pairs = dedup.similar_pairs(usable, "id", "phash", "histogram")
     ranked = dedup.number_groups(
         dedup.rank(dedup.groups(usable.withColumnRenamed("id", "key"), pairs.select("a", "b"), "key"), "key", keep)
     ).select("path", "duplicate_group", "duplicate_rank", "is_duplicate_drop")

@@ -130,3 +130,40 @@ def test_catalogue_against_sql(spark):
         got = sorted(map(repr, (tuple(r[c] for c in columns) for r in mine.collect())))
         theirs = db.execute(f"select {', '.join(columns)} from ({sql})").fetchall()
         assert got == sorted(map(repr, map(tuple, theirs))), name
+
+
+def test_similar_pairs(spark, monkeypatch):
+    """Groups of equal and near hashes whose vectors differ, against brute force."""
+    import numpy as np
+
+    monkeypatch.setattr(dedup, "CROWD", 8)
+    draw = random.Random(12)
+    hashes = [draw.getrandbits(63) for _ in range(4)]
+    hashes += [h ^ 0b1011 << 20 for h in hashes[:2]]
+    kinds = [[draw.random() for _ in range(16)] for _ in range(5)]
+    rows = []
+    for i in range(120):
+        noise = draw.choice([0.0, 0.02, 0.3])
+        rows.append((i, draw.choice(hashes), [x + noise * draw.random() for x in draw.choice(kinds)]))
+    rows += [(200, hashes[0], None), (201, None, kinds[0])]
+    got = dedup.similar_pairs(spark.createDataFrame(rows, "id long, h long, v array<double>"), "id", "h", "v").collect()
+    assert len({(r.a, r.b) for r in got}) == len(got) and all(r.a < r.b for r in got)
+    links = [
+        (a, b) for a, h, v in rows[:120] for b, g, w in rows[:120]
+        if a < b and bin(h ^ g).count("1") <= 5 and np.corrcoef(v, w)[0, 1] >= 0.95
+    ]
+    assert brute_components([(r.a, r.b) for r in got]) == brute_components(links)
+    assert {(r.a, r.b) for r in got} <= set(links)
+
+
+def test_triage_groups_behind_another_histogram(spark):
+    """B and C are copies; A has their hash, but another histogram."""
+    from quarry.plans.triage import triage
+
+    kinds = {"x": [1.0, 0.0, 5.0, 2.0], "y": [4.0, 3.0, 0.0, 1.0]}
+    schema = "path string, width int, height int, blur_var double, dark_ratio double, bright_ratio double, phash long, histogram array<double>"
+    seen = spark.createDataFrame([], "image string, pred_index int, conf double, poly array<struct<x:double,y:double>>, w double, h double, angle double")
+    for odd in range(3):  # whichever of them comes first by its id
+        rows = [(f"/r/{i}.jpg", 640, 480, 100.0, 0.0, 0.0, 77, kinds["x" if i == odd else "y"]) for i in range(3)]
+        got = {r.path: r.duplicate_group for r in triage(spark.createDataFrame(rows, schema), seen, "/r").collect()}
+        assert [got[f"/r/{i}.jpg"] for i in range(3)] == [None if i == odd else 1 for i in range(3)]
