@@ -40,8 +40,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of what is left."""
-    return sentencepiece.encode(docs, carry=("source",))
+    """Token ids of what is left.  Equal rows are the copies that mixing made; they
+    are numbered, so that each is segmented anew."""
+    row = [F.col(f"`{c}`") for c in docs.columns]
+    copies = docs.groupBy(*row).agg(F.count("*").cast("int").alias("_copies"))
+    numbered = copies.withColumn("_number", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return sentencepiece.encode(numbered, variants=None, carry=("source",), copy="_number")
 
 
 STAGES = [

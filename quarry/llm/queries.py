@@ -54,7 +54,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece.encode(read(spark, sf_dir, "documents"))
+    return sentencepiece.encode(read(spark, sf_dir, "documents"), variants=None)
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

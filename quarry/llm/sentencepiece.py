@@ -18,7 +18,7 @@ from quarry.llm.shingles import mixed
 #: A public BPE model with byte fallback; read on the driver only.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Share of candidate merges that are skipped, and the number of segmentations
-#: that a word may get; a document's key picks one of them.
+#: that a word may get where a document's key picks one of them.
 DROPOUT, VARIANTS, SEED = 0.1, 4, 42
 #: No piece has a space after another character, so segments are independent.
 SEGMENT = re.compile(" *[^ ]+| +")
@@ -133,10 +133,22 @@ def segment_ids(segment: str, key: int, model: dict, dropout: float) -> list[int
     return ids
 
 
+def occurrence_keys(doc: int, first: int, n: int) -> np.ndarray:
+    """A key for each of n segments of a document from place ``first`` on."""
+    return mixed(mixed(np.array([doc], dtype=_U)) + np.arange(first, first + n, dtype=_U))
+
+
+def document_key(doc_id: int | None, copy: int, seed: int) -> int:
+    return xxhash.xxh64_intdigest(f"{doc_id} {copy}".encode(), seed=seed)
+
+
 def batch_ids(
-    segments: list[str], variants: np.ndarray, model: dict, dropout: float, seed: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """All segments at once: flat ids, and their number per segment.
+    segments: list[str], variants: np.ndarray | None, model: dict, dropout: float, seed: int,
+    keys: np.ndarray | None = None, merges: list | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
+    """All segments at once: flat ids, and their number per segment.  ``keys``
+    stand for those of segments and variants; ``merges`` gets arrays (segment,
+    start, end) of all merges that are made.
 
     The same agenda in steps: every unfinished segment takes its best candidate
     in each step, all of them together as array operations.
@@ -149,7 +161,8 @@ def batch_ids(
     seg = np.repeat(np.arange(n), sizes)
     starts = np.cumsum(sizes) - sizes
     pos = np.arange(len(flat)) - np.repeat(starts, sizes)
-    keys = segment_keys(points, pos, starts, variants, seed)
+    if keys is None and dropout:
+        keys = segment_keys(points, pos, starts, variants, seed)
     length = np.ones(len(flat), dtype=np.int64)
 
     def candidates(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -187,6 +200,8 @@ def batch_ids(
             heads = np.cumsum(counts) - counts
         hit = np.flatnonzero(rank == np.repeat(best, counts))
         hit = hit[np.concatenate(([True], seg[hit][1:] != seg[hit][:-1]))]  # leftmost
+        if merges is not None:
+            merges.append((seg[hit], pos[hit], pos[hit + 1] + length[hit + 1]))
         sym[hit] = piece[hit]
         length[hit] += length[hit + 1]
         keep = np.ones(len(sym), dtype=bool)
@@ -278,36 +293,120 @@ class Segments:
         return out
 
 
+class Occurrences:
+    """Segments met in a task with the ids and merges that they have without
+    dropout; starts anew at HELD of them.
+
+    Each occurrence draws for itself.  One that skips none of those merges has
+    those ids; the others are segmented one by one."""
+
+    def __init__(self, model: dict, dropout: float):
+        self.model, self.dropout = model, dropout
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.names: list[str] = []
+        self.ids = np.zeros(0, np.int32)
+        self.starts = self.counts = self.first = self.merges = np.zeros(0, np.int64)
+        self.spans = np.zeros((2, 0), np.int32)
+
+    def _learn(self, new: list[str]) -> None:
+        made: list = []
+        ids, counts = batch_ids(new, None, self.model, 0.0, 0, merges=made)
+        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(counts) - counts))
+        self.counts = np.concatenate((self.counts, counts))
+        self.ids = np.concatenate((self.ids, ids.astype(np.int32)))
+        seg, *spans = (np.concatenate(x) for x in zip(*made)) if made else (np.zeros(0, np.int64),) * 3
+        order = np.argsort(seg, kind="stable")
+        merges = np.bincount(seg, minlength=len(new))
+        self.first = np.concatenate((self.first, self.spans.shape[1] + np.cumsum(merges) - merges))
+        self.merges = np.concatenate((self.merges, merges))
+        self.spans = np.concatenate((self.spans, np.stack(spans)[:, order].astype(np.int32)), axis=1)
+        self.names += new
+
+    def encode(self, own: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of segments that occur under these keys, and their numbers."""
+        if len(self.names) > HELD:
+            self.clear()
+        numbers, known = self.numbers, len(self.names)
+        at = np.fromiter((numbers.setdefault(s, len(numbers)) for s in own), np.int64, len(own))
+        if len(numbers) > known:
+            self._learn(list(itertools.islice(numbers, known, None)))
+        starts, counts, ids = self.starts[at], self.counts[at], self.ids
+        if self.dropout:
+            n = self.merges[at]
+            which = np.repeat(np.arange(len(at)), n)
+            span = self.spans[:, np.repeat(self.first[at] - (np.cumsum(n) - n), n) + np.arange(len(which))]
+            hit = np.unique(which[skipped(keys[which], span[0], span[1], self.dropout)])
+            if len(hit):
+                more, n = batch_ids([own[i] for i in hit], None, self.model, self.dropout, 0, keys=keys[hit])
+                starts[hit], counts[hit] = len(ids) + np.cumsum(n) - n, n
+                ids = np.concatenate((ids, more.astype(np.int32)))
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        return ids[np.repeat(starts - (ends - counts), counts) + np.arange(total)], counts
+
+    def texts(self, texts: list[str], docs: list[int]) -> list[np.ndarray]:
+        """Ids of each text, whose document's key is given."""
+        own = [SEGMENT.findall(" " + t) if t else [] for t in texts]
+        sizes = [len(x) for x in own]
+        keys = [occurrence_keys(d, 0, n) for d, n in zip(docs, sizes)]
+        ids, counts = self.encode(list(itertools.chain.from_iterable(own)), np.concatenate(keys))
+        ends = np.concatenate(([0], np.cumsum(counts)))[np.cumsum(sizes)]
+        return np.split(ids, ends[:-1])
+
+    def long(self, text: str, doc: int) -> np.ndarray:
+        """A very long text in pieces cut between segments."""
+        out, first = [], 0
+        segments = (m[0] for m in SEGMENT.finditer(" " + text))
+        while piece := list(itertools.islice(segments, BATCH // 32)):
+            out.append(self.encode(piece, occurrence_keys(doc, first, len(piece)))[0])
+            first += len(piece)
+        return np.concatenate(out)
+
+
 def encode_texts(texts: list[str], variants: list[int], model: dict, dropout: float, seed: int) -> list[np.ndarray]:
     return Segments(model, dropout, seed).encode(texts, variants)
 
 
-def _encode(model, dropout: float, variants: int, seed: int) -> Callable:
+def _encode(model, dropout: float, variants: int | None, seed: int) -> Callable:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = model.value
-        store = Segments(tables, dropout, seed)
+        store = Segments(tables, dropout, seed) if variants else Occurrences(tables, dropout)
         for batch in batches:
             sizes = np.array([len(t or "") for t in batch.column(1).to_pylist()])
-            for part in _parts(sizes):
+            for part in _parts(sizes, BATCH if variants else BATCH // 4):
                 own = batch.slice(part.start, len(part))
                 texts = [t or "" for t in own.column(1).to_pylist()]
-                which = [variant_of(i, variants, seed) for i in own.column(0).to_pylist()]
+                docs = own.column(0).to_pylist()
+                if variants is None:
+                    which = [document_key(i, c, seed) for i, c in zip(docs, own.column(2).to_pylist())]
+                    long = len(texts) == 1 and len(texts[0]) > BATCH
+                    ids = [store.long(texts[0], which[0])] if long else store.texts(texts, which)
+                    yield _encoded(own, texts, ids, tables)
+                    continue
+                which = [variant_of(i, variants, seed) for i in docs]
                 if len(texts) == 1 and len(texts[0]) > 2 * BATCH:
                     ids = [_long(texts[0], which[0], tables, dropout, seed)]
                 else:
                     ids = store.encode(texts, which)
-                offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
-                same = [decode_ids(x.tolist(), tables) == t for x, t in zip(ids, texts)]
-                yield pa.RecordBatch.from_arrays(
-                    [own.column(i) for i in range(own.num_columns) if i != 1]
-                    + [lists, pa.array(same, pa.bool_())],
-                    names=[*(x for x in own.schema.names if x != "text"), "token_ids", "lossless"],
-                )
+                yield _encoded(own, texts, ids, tables)
 
     return encode
 
 
+def _encoded(own: pa.RecordBatch, texts: list[str], ids: list[np.ndarray], model: dict) -> pa.RecordBatch:
+    """The batch without text and copy, with the ids and whether they give the text."""
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
+    same = [decode_ids(x.tolist(), model) == t for x, t in zip(ids, texts)]
+    return pa.RecordBatch.from_arrays(
+        [own.column(i) for i in range(own.num_columns) if i not in (1, 2)] + [lists, pa.array(same, pa.bool_())],
+        names=["doc_id", *own.schema.names[3:], "token_ids", "lossless"],
+    )
+
+
 def _long(text: str, variant: int, model: dict, dropout: float, seed: int) -> np.ndarray:
     """A very long text in pieces cut between segments, so that its working
     arrays stay small."""
@@ -322,11 +421,11 @@ def _long(text: str, variant: int, model: dict, dropout: float, seed: int) -> np
     return np.concatenate(out).astype(np.int32)
 
 
-def _parts(sizes: np.ndarray) -> Iterator[range]:
-    """Runs of rows of at most BATCH characters, or one longer row."""
+def _parts(sizes: np.ndarray, most: int = BATCH) -> Iterator[range]:
+    """Runs of rows of at most so many characters, or one longer row."""
     start, held = 0, 0
     for i, n in enumerate(sizes):
-        if i > start and held + n > BATCH:
+        if i > start and held + n > most:
             yield range(start, i)
             start, held = i, 0
         held += n
@@ -337,10 +436,11 @@ def _parts(sizes: np.ndarray) -> Iterator[range]:
 def encode(
     docs: DataFrame,
     dropout: float = DROPOUT,
-    variants: int = VARIANTS,
+    variants: int | None = VARIANTS,
     seed: int = SEED,
     model_path: str = MODEL,
     carry: tuple[str, ...] = (),
+    copy: str | None = None,
 ) -> DataFrame:
     """``doc_id, n_tokens, token_ids, lossless`` (and ``carry``) per document.
 
@@ -348,6 +448,9 @@ def encode(
     A hash keyed by the seed, the document's variant, the segment and the span
     skips a candidate with probability ``dropout`` when it comes up, so that a
     word has up to ``variants`` segmentations; the same seed gives the same ids.
+    With ``variants`` None the hash is keyed by the seed, the document's id, its
+    number in the column ``copy``, the place of the segment in the text and the
+    span instead: every occurrence of a word draws for itself.
     Without dropout the ids are the model's own.  Characters without a piece are
     spelt in bytes, and so is a literal space mark, so every text decodes to
     itself: ``lossless`` says that it did.
@@ -356,11 +459,14 @@ def encode(
     shuffle; equal segments of a batch are segmented once, together.
 
     Defined cases: null and empty texts have no tokens; a null id has a variant
-    like any other; repeated rows are encoded alike; an empty table gives no rows.
+    like any other; repeated rows of one copy number are encoded alike; an empty table gives no rows.
     """
     tables = docs.sparkSession.sparkContext.broadcast(load(model_path))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
-    schema = ["doc_id long"] + [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[2:]]
+    number = F.col(copy).cast("long") if copy else F.lit(0).cast("long")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), number.alias("_copy"), *carry
+    )
+    schema = ["doc_id long"] + [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[3:]]
     return rows.mapInArrow(
         _encode(tables, dropout, variants, seed), ", ".join([*schema, "token_ids array<int>", "lossless boolean"])
     ).select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "lossless", *carry)

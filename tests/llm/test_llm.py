@@ -325,3 +325,31 @@ def test_discounts():
     assert list(d) == pytest.approx(list(toxicity.discounts(*(10 * n for n in counts))))
     y = 60 / (60 + 50)
     assert list(d[1:]) == pytest.approx([1 - 2 * y * 25 / 60, 2 - 3 * y * 12 / 25, 3 - 4 * y * 8 / 12])
+
+
+def test_sentencepiece_draws_per_occurrence(spark, corpus, monkeypatch):
+    pytest.importorskip("sentencepiece")
+    model = sentencepiece.load()
+    docs = documents(spark, [(i, (t or "") + " therefore" * 200, s) for i, t, s in corpus[:12]])
+    copies = docs.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    got = sentencepiece.encode(copies, dropout=0.2, variants=None, copy="copy", carry=("copy",)).collect()
+    assert len(got) == 24 and all(r.lossless for r in got)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in got:
+        own = sentencepiece.SEGMENT.findall(" " + texts[r.doc_id])
+        keys = sentencepiece.occurrence_keys(sentencepiece.document_key(r.doc_id, r.copy, sentencepiece.SEED), 0, len(own))
+        cut = [sentencepiece.segment_ids(s, k, model, 0.2) for s, k in zip(own, keys)]
+        assert r.token_ids == sum(cut, [])
+        assert len({tuple(x) for s, x in zip(own, cut) if s == " therefore"}) > sentencepiece.VARIANTS
+    assert len({tuple(r.token_ids) for r in got}) == 24
+    store = sentencepiece.Occurrences(model, 0.2)
+    text = texts[0]
+    monkeypatch.setattr(sentencepiece, "BATCH", 320)
+    assert store.long(text, 7).tolist() == store.texts([text], [7])[0].tolist()
+
+
+def test_pipeline_segments_copies_anew(spark):
+    pytest.importorskip("sentencepiece")
+    docs = documents(spark, [(1, "therefore something " * 50, "s")] * 3 + [(2, "x", None)])
+    got = corpus_pipeline.encode(spark, docs, "").collect()
+    assert len(got) == 4 and len({tuple(r.token_ids) for r in got}) == 4 and all(r.lossless for r in got)
