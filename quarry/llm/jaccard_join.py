@@ -215,10 +215,12 @@ def near_duplicates(
     k: int = 5,
     num: int = 80,
     den: int = 100,
+    count_links: bool = False,
 ) -> DataFrame:
     """Link documents with Jaccard similarity of at least num / den over their
     distinct ``k``-word shingles; one row per document: ``doc_id, n_shingles,
-    class_id, component_id``.
+    class_id, component_id`` and, with ``count_links``, ``n_links``: how many
+    other documents it links with.
 
     All documents order their shingles alike: those not known to be frequent by
     hash, then the frequent ones by estimated number of documents.  A document
@@ -237,6 +239,8 @@ def near_duplicates(
     but lie in different components are verified too, each list against its
     largest component.  So a large group of
     near copies costs about its size, and no link between components is lost.
+    Only ``count_links`` verifies all candidate pairs of classes, inside components
+    too; its work grows with the number of links.
 
     Lists live in sorted shuffles and are read as streams; frequent shingles are
     spread over tasks; texts meet the ids of candidates in a shuffle, and
@@ -293,62 +297,84 @@ def near_duplicates(
             rows.join(ids, "id", "left_semi").mapInArrow(_normal, "id long, body binary"), "candidate-texts"
         ).df
 
-    # pairs with the centre of each list
-    centres = (
-        live.groupBy("token").agg(F.max(F.struct("score", (-F.col("id")).alias("minus"), "size", "ell")).alias("c"), F.count("*").alias("n"))
-        .where("n > 1").select("token", (-F.col("c.minus")).alias("hub"), F.col("c.size").alias("hub_size"), F.col("c.ell").alias("hub_ell"))
-    )
     fits = lambda x, y: (F.col(x) * den >= F.col(y) * num) & (F.col(y) * den >= F.col(x) * num)
-    stars = Table(
-        live.join(Table(centres, "centres").df, "token").where(F.col("id") != F.col("hub")).where(fits("size", "hub_size"))
-        .groupBy(F.col("hub").alias("a"), F.col("id").alias("b"))
-        .agg(F.count("*").alias("shared"), F.min(F.least("ell", "hub_ell")).alias("need"))
-        .where("shared >= need"),
-        "stars",
-    ).df
-    near = _check(stars, texts_of(stars), k, num, den).df
-    first = Table(components(near), "components").df
-
-    # what still lies in different components
-    placed = live.join(first, "id", "left").select(
-        "token", "id", "size", "ell", "pos", F.coalesce("component", "id").alias("component")
-    )
-    placed = Table(placed, "placed").df
-    crowds = (
-        placed.groupBy("token", "component").agg(F.count("*").alias("n"))
-        .groupBy("token").agg(F.max(F.struct("n", "component")).alias("m"), F.count("*").alias("parts"))
-        .where("parts > 1").select("token", F.col("m.component").alias("main"))
-    )
-    mixed_lists = Table(placed.join(Table(crowds, "crowds").df, "token"), "mixed-lists").df
-    few = mixed_lists.where("component <> main").select(
-        "token", *(F.col(c).alias(f"a_{c}") for c in ("id", "size", "ell", "pos", "component"))
-    )
     # a pair that links shares o shingles, so that the ell-th common one stands at
     # size - o + ell at the latest, in either document
     least_common = f"cast(ceil({num} * (size + a_size) / {num + den}) as int)"
     near_front = " and ".join(
         f"{x}pos <= {x}size - {least_common} + least(ell, a_ell)" for x in ("", "a_")
     )
-    cross = (
-        few.join(mixed_lists, "token")
-        .where("a_component <> component and (component = main or a_id < id)")
-        .where(fits("size", "a_size")).where(near_front)
-        .groupBy(F.least("a_id", "id").alias("a"), F.greatest("a_id", "id").alias("b"))
-        .agg(F.count("*").alias("shared"), F.min(F.least("ell", "a_ell")).alias("need"))
-        .where("shared >= need")
-        .join(
-            stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"
+
+    def by_centres() -> DataFrame:
+        """Components, from as few verified pairs as that takes."""
+        # pairs with the centre of each list
+        centres = (
+            live.groupBy("token").agg(F.max(F.struct("score", (-F.col("id")).alias("minus"), "size", "ell")).alias("c"), F.count("*").alias("n"))
+            .where("n > 1").select("token", (-F.col("c.minus")).alias("hub"), F.col("c.size").alias("hub_size"), F.col("c.ell").alias("hub_ell"))
+        )
+        stars = Table(
+            live.join(Table(centres, "centres").df, "token").where(F.col("id") != F.col("hub")).where(fits("size", "hub_size"))
+            .groupBy(F.col("hub").alias("a"), F.col("id").alias("b"))
+            .agg(F.count("*").alias("shared"), F.min(F.least("ell", "hub_ell")).alias("need"))
+            .where("shared >= need"),
+            "stars",
+        ).df
+        near = _check(stars, texts_of(stars), k, num, den).df
+        first = Table(components(near), "components").df
+
+        # what still lies in different components
+        placed = live.join(first, "id", "left").select(
+            "token", "id", "size", "ell", "pos", F.coalesce("component", "id").alias("component")
         )
-    )
-    crossed = Table(cross.select("a", "b"), "cross").df
-    linked = first
-    if not crossed.isEmpty():
-        more = _check(crossed, texts_of(crossed), k, num, den).df
-        if not more.isEmpty():
-            linked = Table(components(near.union(more)), "components").df
+        placed = Table(placed, "placed").df
+        crowds = (
+            placed.groupBy("token", "component").agg(F.count("*").alias("n"))
+            .groupBy("token").agg(F.max(F.struct("n", "component")).alias("m"), F.count("*").alias("parts"))
+            .where("parts > 1").select("token", F.col("m.component").alias("main"))
+        )
+        mixed_lists = Table(placed.join(Table(crowds, "crowds").df, "token"), "mixed-lists").df
+        few = mixed_lists.where("component <> main").select(
+            "token", *(F.col(c).alias(f"a_{c}") for c in ("id", "size", "ell", "pos", "component"))
+        )
+        cross = (
+            few.join(mixed_lists, "token")
+            .where("a_component <> component and (component = main or a_id < id)")
+            .where(fits("size", "a_size")).where(near_front)
+            .groupBy(F.least("a_id", "id").alias("a"), F.greatest("a_id", "id").alias("b"))
+            .agg(F.count("*").alias("shared"), F.min(F.least("ell", "a_ell")).alias("need"))
+            .where("shared >= need")
+            .join(
+                stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"
+            )
+        )
+        crossed = Table(cross.select("a", "b"), "cross").df
+        linked = first
+        if not crossed.isEmpty():
+            more = _check(crossed, texts_of(crossed), k, num, den).df
+            if not more.isEmpty():
+                linked = Table(components(near.union(more)), "components").df
+        return linked
+
+    def all_links() -> DataFrame:
+        """All pairs of classes that link."""
+        one = live.select("token", *(F.col(c).alias(f"a_{c}") for c in ("id", "size", "ell", "pos")))
+        pairs = (
+            one.join(live, "token").where("a_id < id").where(fits("size", "a_size")).where(near_front)
+            .groupBy(F.col("a_id").alias("a"), F.col("id").alias("b"))
+            .agg(F.count("*").alias("shared"), F.min(F.least("ell", "a_ell")).alias("need"))
+            .where("shared >= need")
+        )
+        pairs = Table(pairs.select("a", "b"), "pairs").df
+        return _check(pairs, texts_of(pairs), k, num, den).df
+
+    if count_links:
+        links = all_links()
+        linked = Table(components(links), "components").df
+    else:
+        linked = by_centres()
 
     member = F.coalesce("class_id", "doc_id")
-    return (
+    found = (
         info.select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), "d1", "d2")
         .join(classes, ["d1", "d2"], "left")
         .withColumn("class_id", F.when(F.col("n_shingles") > 0, member).otherwise(F.col("doc_id")))
@@ -356,6 +382,24 @@ def near_duplicates(
         .join(linked.withColumnRenamed("id", "class_id"), "class_id", "left")
         .select("doc_id", "n_shingles", "class_id", F.coalesce("component", "class_id").alias("component_id"))
     )
+    if not count_links:
+        return found
+    sizes = Table(
+        info.where("size > 0 and id is not null").groupBy("d1", "d2")
+        .agg(F.min("id").alias("class_id"), F.countDistinct("id").alias("n"))
+        .groupBy("class_id").agg(F.max("n").alias("n")),
+        "class-sizes",
+    ).df
+    ends = links.union(links.select("b", "a")).toDF("class_id", "other")
+    others = ends.join(sizes.select(F.col("class_id").alias("other"), "n"), "other").groupBy("class_id").agg(F.sum("n").alias("m"))
+    counts = sizes.join(others, "class_id", "left").select(
+        F.col("class_id").alias("_class"), (F.col("n") - 1 + F.coalesce("m", F.lit(0))).alias("_links")
+    )
+    n_links = F.when(F.col("n_shingles") > 0, F.col("_links"))
+    return (
+        found.join(Table(counts, "link-counts").df, F.col("class_id") == F.col("_class"), "left")
+        .withColumn("n_links", F.coalesce(n_links, F.lit(0)).cast("long")).drop("_class", "_links")
+    )
 
 
 SQL = r"""

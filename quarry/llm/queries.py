@@ -44,6 +44,12 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"), count_links=True).select(
+        "doc_id", "class_id", "n_links", "component_id"
+    )
+
+
 def op2_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return importance.resample(docs, importance.good_texts(docs, read(spark, sf_dir, "labels")))
@@ -84,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_sentencepiece": op6_sentencepiece,
         "op7_warc": op7_warc,
         "op8_jaccard_join": op8_jaccard_join,
+        "op8_jaccard_links": op8_jaccard_links,
         "op9_toxicity": op9_toxicity,
         "op10_chat": op10_chat,
     }

@@ -353,3 +353,24 @@ def test_pipeline_segments_copies_anew(spark):
     docs = documents(spark, [(1, "therefore something " * 50, "s")] * 3 + [(2, "x", None)])
     got = corpus_pipeline.encode(spark, docs, "").collect()
     assert len(got) == 4 and len({tuple(r.token_ids) for r in got}) == 4 and all(r.lossless for r in got)
+
+
+def test_jaccard_links_inside_components(spark, corpus):
+    """Every link counts, also between near copies of one text."""
+    draw = random.Random(21)
+    base = [draw.choice(WORDS) for _ in range(90)]
+    rows = [(i, t) for i, t, _ in corpus]
+    for i in range(40):
+        words = list(base)
+        for _ in range(draw.randrange(0, 3)):
+            words[draw.randrange(90)] = draw.choice(WORDS)
+        rows.append((3000 + i, " ".join(words)))
+    docs = documents(spark, [(i, t, "s") for i, t in rows])
+    got = {r.doc_id: r for r in jaccard_join.near_duplicates(docs, count_links=True).collect()}
+    sets = {i: shingle_set(normal(t), 5) for i, t in rows}
+    links = {i: 0 for i in sets}
+    for a, x in sets.items():
+        for b, y in sets.items():
+            links[a] += bool(a != b and x and y and 100 * len(x & y) >= 80 * len(x | y))
+    assert {i: r.n_links for i, r in got.items()} == links and max(links.values()) > 10
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == brute_links(rows)
