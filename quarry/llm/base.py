@@ -1,86 +1,45 @@
-"""Helpers the training-data operators share: scratch tables and text constants."""
+"""Helpers the training-data operators share: text constants, columns by name."""
 
 from __future__ import annotations
 
-import atexit
-import os
-import tempfile
-import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.tables import Table, drop_scratch, scratch_path, scratch_root
+
+__all__ = ["Table", "drop_scratch", "scratch_path", "scratch_root"]
+
 #: ASCII white space, as a regex class body: tab to carriage return, and space.
 WS = r"\x20\x09-\x0D"
 #: The same characters as a literal, for trim functions.
 WS_CHARS = " \t\n\x0b\x0c\r"
 
-_made: list[tuple[SparkSession, str]] = []
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``.
-
-    Only where that is unset is one chosen: the temp folder of a local master
-    (driver and executors are one process there), else the warehouse.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if spark.sparkContext.master.startswith("local["):
-            root = "file://" + os.path.join(tempfile.gettempdir(), "quarry-scratch")
-        else:
-            root = spark.conf.get("spark.sql.warehouse.dir")
-    return root.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, tag: str) -> str:
-    path = f"{scratch_root(spark)}/quarry-{uuid.uuid4().hex}-{tag}"
-    if not _made:
-        atexit.register(_clean)
-    _made.append((spark, path))
-    return path
-
-
-def drop_scratch(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def _clean() -> None:
-    for spark, path in _made:
-        try:
-            drop_scratch(spark, path)
-        except Exception:  # the session has ended; the shared folder's owner cleans up
-            return
 
+def words_pattern() -> str:
+    return f"[^{WS}]+"
 
-class Table:
-    """A materialised intermediate: ``df`` reads it, ``drop()`` frees its disk.
 
-    Writing Parquet to the shared folder cuts lineage, so a lost executor costs
-    the running stage only, never the stages before the table.
-    """
+def text_or_empty(column: str = "text") -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
-    def __init__(self, df: DataFrame, tag: str, partition_by: tuple[str, ...] = ()):
-        self.spark = df.sparkSession
-        self.path = scratch_path(self.spark, tag)
-        writer = df.write.option("compression", "zstd")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path)
-        self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
-    def drop(self) -> None:
-        drop_scratch(self.spark, self.path)
+def quoted(names: Iterable[str]) -> list[Column]:
+    """Columns by their names as they are, dots included."""
+    return [F.col(f"`{c}`") for c in names]
 
 
-def words_pattern() -> str:
-    return f"[^{WS}]+"
+def carried(names: Iterable[str]) -> tuple[list[Column], list[Column]]:
+    """The columns under names that an Arrow operator can take, and back again."""
+    names = list(names)
+    there = [F.col(f"`{c}`").alias(f"_carry{i}") for i, c in enumerate(names)]
+    return there, [F.col(f"_carry{i}").alias(c) for i, c in enumerate(names)]
 
 
-def text_or_empty(column: str = "text") -> Column:
-    return F.coalesce(F.col(column), F.lit(""))
+def as_row(df: DataFrame, name: str = "_row") -> Column:
+    """All columns as one struct, which no name of an operator can clash with."""
+    return F.struct(*quoted(df.columns)).alias(name)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

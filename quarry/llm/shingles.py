@@ -130,3 +130,28 @@ def shingle_set(body: bytes, k: int) -> set[bytes]:
     if not words:
         return set()
     return {b" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))}
+
+
+class Places:
+    """Sorted hashes, found by their leading bits."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.bits = np.uint64(64 - max(1, min(int(len(keys)).bit_length(), 24)))
+        edges = np.arange(1 << int(np.uint64(64) - self.bits), dtype=np.uint64) << self.bits
+        self.starts = np.append(np.searchsorted(keys, edges), len(keys)).astype(np.int64)
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """Places of wanted; the number of keys for what isn't there."""
+        out = np.full(len(wanted), len(self.keys), np.int64)
+        lead = (wanted >> self.bits).astype(np.int64)
+        at, end = self.starts[lead], self.starts[lead + 1]
+        open_ = np.flatnonzero(at < end)
+        while len(open_):
+            here = at[open_]
+            hit = self.keys[here] == wanted[open_]
+            out[open_[hit]] = here[hit]
+            open_ = open_[~hit]
+            at[open_] += 1
+            open_ = open_[at[open_] < end[open_]]
+        return out

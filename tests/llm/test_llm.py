@@ -22,40 +22,18 @@ from quarry.llm import (
 )
 from quarry.llm.shingles import normal, shingle_set
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-WORDS = [f"w{i}" for i in range(300)]
-
-
-def documents(spark, rows):
-    return spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], SCHEMA)
+from .common import SCHEMA, WORDS, documents, make_corpus, toxic_corpus, words_of
 
 
 @pytest.fixture(scope="module")
 def corpus():
-    """Copies, near copies, shared lines, a hot source, empty, null and long texts."""
-    draw = random.Random(11)
-    prose = lambda n: " ".join(draw.choice(WORDS) for _ in range(n))
-    texts = [prose(draw.randrange(1, 120)) for _ in range(60)]
-    for i in range(25):
-        words = texts[i % 5].split()
-        for _ in range(draw.randrange(0, 5)):
-            words[draw.randrange(len(words))] = draw.choice(WORDS)
-        texts.append(" ".join(words).replace(" ", draw.choice([" ", "  ", "\n"]), 3))
-    shared = "A line that many documents share, Longer than Forty characters"
-    texts += [f"{prose(10)}\n {shared if i % 2 else shared.upper()}\n{prose(5)}\n{shared}" for i in range(8)]
-    texts += [texts[0], texts[0], "", None, " \n\t ", "é" * 5, "one two", "ONE  two", prose(9000), None]
-    texts += [texts[-2] + " tail", "日本 ▁ x  y" * 3]
-    return [(i, t, None if i % 17 == 0 else "hot" if i % 3 else f"s{i % 4}") for i, t in enumerate(texts)]
+    return make_corpus()
 
 
 def squeezed(text):
     return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
 
 
-def words_of(text):
-    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
-
-
 def test_exact_dedup(spark, corpus):
     got = exact_dedup.exact_dedup(documents(spark, corpus), head_chars=4, width=8, growth=4).collect()
     groups = {}
@@ -157,28 +135,6 @@ def test_quality_rules(spark, corpus):
         assert r.base_failed == (len(w) < 20 or 100 * r.n_repeat_words > 30 * len(w)) and not (r.base_failed and r.kept)
 
 
-def test_sentencepiece(spark, corpus):
-    lib = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=sentencepiece.MODEL)
-    model = sentencepiece.load()
-    texts = [t or "" for _, t, _ in corpus if t is None or "▁" not in t]
-    plain = sentencepiece.encode_texts(texts, [0] * len(texts), model, 0.0, 1)
-    assert [x.tolist() for x in plain] == lib.encode(texts)
-    docs = documents(spark, corpus)
-    rows = sentencepiece.encode(docs, dropout=0.2)
-    got = {r.doc_id: r for r in rows.collect()}
-    assert all(r.lossless and r.n_tokens == len(r.token_ids) for r in got.values())
-    for i, t, _ in corpus[:40]:
-        v = sentencepiece.variant_of(i, sentencepiece.VARIANTS, sentencepiece.SEED)
-        want = []
-        for s in sentencepiece.SEGMENT.findall(" " + t):
-            want += sentencepiece.segment_ids(s, sentencepiece.segment_key(s, v, sentencepiece.SEED), model, 0.2)
-        assert got[i].token_ids == want
-    back = {r.doc_id: r.text for r in sentencepiece.decode(rows).collect()}
-    assert back == {i: t or "" for i, t, _ in corpus}
-    words = {tuple(sentencepiece.segment_ids(" therefore", sentencepiece.segment_key(" therefore", v, 1), model, 0.5)) for v in range(30)}
-    assert len(words) > 1
-
-
 def test_warc(spark):
     long = "<p>" + "x" * 200 + "</p>"
     pages = [(1, "http://b.example.org/x?q=1", long), (2, "http://a.example.org/", long), (3, "http://a.example.org/", "short"),
@@ -212,30 +168,6 @@ def test_chat(spark):
     assert [r.rendered[m.start : m.start + m.length] for m in r.masks] == ["yo<|end|>\n"]
 
 
-def toxic_corpus(spark):
-    draw = random.Random(8)
-    rows, labels = [], []
-    for i in range(400):
-        words = [draw.choice(WORDS) for _ in range(80)]
-        bad = i % 4 == 0
-        for k in range(0, 80, 10) if bad else ():
-            words[k] = draw.choice(["idiot", "scum", "moron"])
-        rows.append((i, " ".join(words), "s"))
-        labels.append((i, 1, int(bad)))
-    return documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-
-
-def test_toxicity(spark):
-    docs, labels = toxic_corpus(spark)
-    docs = docs.union(documents(spark, [(1000, "", "s"), (1001, None, "s")]))
-    got = toxicity.toxicity(docs, labels).join(labels, "doc_id", "left").collect()
-    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got) and len(got) == 402
-    held = [r for r in got if r.held_out and r.toxic is not None]
-    assert 60 < len(held) < 140 and sum(r.predicted == r.toxic for r in held) / len(held) > 0.95
-    none = toxicity.toxicity(docs, labels.limit(0))
-    assert none.where("score is null").count() == 0
-
-
 def test_importance(spark):
     docs, labels = toxic_corpus(spark)
     target = docs.join(labels.where("toxic = 0"), "doc_id", "left_semi").select("text")
@@ -291,63 +223,6 @@ def test_pipeline(spark, corpus, tmp_path):
     assert final.where("not lossless").count() == 0 and final.count() == docs.count()
 
 
-def test_toxicity_rare_expressions(spark):
-    """Words and bigrams in few toxic documents keep their weight."""
-    draw = random.Random(6)
-    rows, labels = [], []
-    for i in range(600):
-        words = [draw.choice(WORDS) for _ in range(60)]
-        if i % 2:
-            for k in range(0, 60, 20):
-                words[k] = draw.choice(["idiot", "scum"])
-            if i % 40 == 1:
-                words[10:13] = [draw.choice(WORDS), "gutter", "w1"]
-                words[30:32] = ["w2", "w3"]
-        elif i % 3 == 0:
-            words[10], words[40] = "w2", "w3"
-        rows.append((i, " ".join(words), "s"))
-        labels.append((i, 1, i % 2))
-    docs = documents(spark, rows)
-    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
-
-    def ratios(text):
-        return model.ratios(next(toxicity.batch_word_hashes([toxicity.plain(text)], toxicity.STEM)))
-
-    assert ratios("w5 gutter")[1] > 2 and ratios("w2 w3")[1] > 0.5
-    assert abs(ratios("w5 neverseen")[1]) < 0.5 and len(model.pairs) > 1000
-
-
-def test_discounts():
-    """Near 1, and the same for ten times the sample."""
-    counts = (60, 25, 12, 8)
-    d = toxicity.discounts(*counts)
-    assert d[0] == 0 and all(0 < x < k for k, x in enumerate(d) if k)
-    assert list(d) == pytest.approx(list(toxicity.discounts(*(10 * n for n in counts))))
-    y = 60 / (60 + 50)
-    assert list(d[1:]) == pytest.approx([1 - 2 * y * 25 / 60, 2 - 3 * y * 12 / 25, 3 - 4 * y * 8 / 12])
-
-
-def test_sentencepiece_draws_per_occurrence(spark, corpus, monkeypatch):
-    pytest.importorskip("sentencepiece")
-    model = sentencepiece.load()
-    docs = documents(spark, [(i, (t or "") + " therefore" * 200, s) for i, t, s in corpus[:12]])
-    copies = docs.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    got = sentencepiece.encode(copies, dropout=0.2, variants=None, copy="copy", carry=("copy",)).collect()
-    assert len(got) == 24 and all(r.lossless for r in got)
-    texts = {r.doc_id: r.text for r in docs.collect()}
-    for r in got:
-        own = sentencepiece.SEGMENT.findall(" " + texts[r.doc_id])
-        keys = sentencepiece.occurrence_keys(sentencepiece.document_key(r.doc_id, r.copy, sentencepiece.SEED), 0, len(own))
-        cut = [sentencepiece.segment_ids(s, k, model, 0.2) for s, k in zip(own, keys)]
-        assert r.token_ids == sum(cut, [])
-        assert len({tuple(x) for s, x in zip(own, cut) if s == " therefore"}) > sentencepiece.VARIANTS
-    assert len({tuple(r.token_ids) for r in got}) == 24
-    store = sentencepiece.Occurrences(model, 0.2)
-    text = texts[0]
-    monkeypatch.setattr(sentencepiece, "BATCH", 320)
-    assert store.long(text, 7).tolist() == store.texts([text], [7])[0].tolist()
-
-
 def test_pipeline_segments_copies_anew(spark):
     pytest.importorskip("sentencepiece")
     docs = documents(spark, [(1, "therefore something " * 50, "s")] * 3 + [(2, "x", None)])
