@@ -12,22 +12,30 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
-from quarry.llm.shingles import mixed
+from quarry.llm.base import carried
+from quarry.llm.shingles import Places, mixed
 
 #: A public BPE model with byte fallback; read on the driver only.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Share of candidate merges that are skipped, and the number of segmentations
-#: that a word may get where a document's key picks one of them.
-DROPOUT, VARIANTS, SEED = 0.1, 4, 42
+#: Share of candidate merges that are skipped.
+DROPOUT, SEED = 0.1, 42
 #: No piece has a space after another character, so segments are independent.
 SEGMENT = re.compile(" *[^ ]+| +")
+#: Characters of a segment from which on it is cut between characters that no
+#: piece holds side by side, and what is still longer is segmented by itself.
+LONG = 256
 #: Characters of text segmented together.
-BATCH = 1 << 22
-#: Segments whose ids a task keeps.
-HELD = 500_000
-_NEVER = np.int64(1) << np.int64(40)
+BATCH = 1 << 20
+#: Segmentations, and segments met once, that a task keeps.
+HELD, MET = 200_000, 500_000
+_NEVER = np.int32(2**31 - 1)
 _U = np.uint64
+_ALL = (1 << 64) - 1
+#: Odd, so that multiplying by it spreads keys and loses none.
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+_REPLACED = "\ufffd".encode()
 
 
 def load(path: str = MODEL) -> dict:
@@ -36,7 +44,7 @@ def load(path: str = MODEL) -> dict:
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    pieces, rank, byte_ids, plain = {}, np.full(len(model), _NEVER), [0] * 256, [b""] * len(model)
+    pieces, order_of, byte_ids, plain = {}, np.zeros(len(model), np.int64), [0] * 256, [b""] * len(model)
     for i in range(len(model)):
         text = model.id_to_piece(i)
         if model.is_byte(i):
@@ -46,27 +54,30 @@ def load(path: str = MODEL) -> dict:
             text = text.replace("▁", " ")
             pieces[text] = i
             plain[i] = text.encode()
-            rank[i] = round(-model.get_score(i) * 16)  # BPE scores count merges
+            order_of[i] = round(-model.get_score(i) * 16)  # BPE scores count merges
     merges = {
         (pieces[text[:cut]], pieces[text[cut:]]): i
         for text, i in pieces.items()
         for cut in range(1, len(text))
         if text[:cut] in pieces and text[cut:] in pieces
     }
-    keys = np.array([a << 32 | b for a, b in merges], dtype=np.int64)
+    keys = np.array([a << 32 | b for a, b in merges], dtype=np.uint64) * _SPREAD
     order = np.argsort(keys)
     by_point = np.full(0x110000, -1, dtype=np.int32)
     for t, i in pieces.items():
         if len(t) == 1:
             by_point[ord(t)] = i
+    beside = {t[i : i + 2] for t in pieces for i in range(len(t) - 1)}
     return {
         "pieces": pieces,
+        "beside": beside,
         "by_point": by_point,
-        "rank": rank,
+        "rank": np.unique(order_of, return_inverse=True)[1].astype(np.int32),
         "bytes": byte_ids,
         "plain": plain,
-        "keys": keys[order],
-        "merged": np.array(list(merges.values()), dtype=np.int64)[order],
+        "pairs": Places(keys[order]),
+        # the piece of the pair at each place, and 0 with no rank for what is no pair
+        "merged": np.append(np.array(list(merges.values()), dtype=np.int32)[order], 0),
     }
 
 
@@ -74,28 +85,52 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
-def segment_keys(points: np.ndarray, pos: np.ndarray, starts: np.ndarray, variants: np.ndarray, seed: int) -> np.ndarray:
-    """A hash of each segment's characters in order, its variant and the seed."""
-    sums = np.add.reduceat(mixed(points.astype(_U) + (pos.astype(_U) << _U(32))), starts)
-    return mixed(sums ^ mixed(variants.astype(_U) + (_U(seed) << _U(32))))
-
-
-def segment_key(segment: str, variant: int, seed: int) -> int:
-    points = code_points(segment)
-    return segment_keys(points, np.arange(len(points)), np.zeros(1, np.int64), np.array([variant]), seed)[0]
+def _starts(flat: str, points: np.ndarray, heads: np.ndarray, beside: set[str]) -> np.ndarray:
+    """Where segments start in texts put one after another, each with a space before
+    it: there, where spaces begin, and, in long ones, between characters that no
+    piece holds side by side."""
+    space = points == 32
+    first = space.copy()
+    first[1:] &= ~space[:-1]
+    first[heads] = True
+    starts = np.flatnonzero(first)
+    size = np.diff(np.append(starts, len(points)))
+    if len(size) and size.max() > LONG:
+        cuts = [starts]
+        for i in np.flatnonzero(size > LONG):
+            at, end = int(starts[i]), int(starts[i] + size[i])
+            cuts.append(np.array([k for k in range(at + 1, end) if flat[k - 1 : k + 1] not in beside], np.int64))
+        starts = np.sort(np.concatenate(cuts))
+    return starts
+
+
+def segments(text: str, model: dict) -> list[str]:
+    """The text, a space before it, in parts that no piece crosses."""
+    if not text:
+        return []
+    flat = " " + text
+    starts = _starts(flat, code_points(flat), np.zeros(1, np.int64), model["beside"]).tolist()
+    return [flat[a:b] for a, b in zip(starts, [*starts[1:], len(flat)])]
 
 
 def skipped(key, start, end, dropout: float):
     """Whether the keyed hash skips the merge that spans these characters."""
-    start, end = np.atleast_1d(start).astype(_U), np.atleast_1d(end).astype(_U)
-    h = mixed(np.atleast_1d(key).astype(_U) ^ mixed((start << _U(32)) + end))
+    h = mixed(np.asarray(key).astype(_U) ^ mixed((np.asarray(start).astype(_U) << _U(32)) + np.asarray(end).astype(_U)))
     return (h >> _U(11)) < _U(int(dropout * 2**53))
 
 
+def _mix(x: int) -> int:
+    """``mixed`` of one number."""
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & _ALL
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & _ALL
+    return x ^ (x >> 31)
+
+
 def segment_ids(segment: str, key: int, model: dict, dropout: float) -> list[int]:
     """One segment by an agenda of candidate merges: best score first, leftmost
-    of equal ones; a candidate that its hash skips is dropped when it comes up."""
-    pieces, rank = model["pieces"], model["rank"]
+    of equal ones; a candidate that its hash skips is dropped when it comes up.
+    Its steps grow with the segment's length, but for the agenda's logarithm."""
+    pieces, rank, key, least = model["pieces"], model["rank"].tolist(), int(key), int(dropout * 2**53)
     text = list(segment)
     before = list(range(-1, len(text) - 1))
     after = [*range(1, len(text)), -1]
@@ -106,7 +141,7 @@ def segment_ids(segment: str, key: int, model: dict, dropout: float) -> list[int
         if i >= 0 and j >= 0:
             both = pieces.get(text[i] + text[j])
             if both is not None:
-                heapq.heappush(agenda, (int(rank[both]), i, len(text[i]), len(text[j])))
+                heapq.heappush(agenda, (rank[both], i, len(text[i]), len(text[j])))
 
     for i in range(len(text) - 1):
         offer(i)
@@ -115,7 +150,7 @@ def segment_ids(segment: str, key: int, model: dict, dropout: float) -> list[int
         j = after[i]
         if text[i] is None or len(text[i]) != n or j < 0 or len(text[j]) != m:
             continue  # one of its sides has been merged meanwhile
-        if dropout and skipped(key, i, i + n + m, dropout)[0]:
+        if dropout and _mix(key ^ _mix((i << 32) + i + n + m)) >> 11 < least:
             continue
         text[i] += text[j]
         text[j] = None
@@ -133,54 +168,65 @@ def segment_ids(segment: str, key: int, model: dict, dropout: float) -> list[int
     return ids
 
 
-def occurrence_keys(doc: int, first: int, n: int) -> np.ndarray:
-    """A key for each of n segments of a document from place ``first`` on."""
-    return mixed(mixed(np.array([doc], dtype=_U)) + np.arange(first, first + n, dtype=_U))
+def occurrence_keys(docs: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """A key for each segment, from its document's and its place in the text."""
+    return mixed(mixed(docs) + places.astype(_U))
 
 
 def document_key(doc_id: int | None, copy: int, seed: int) -> int:
     return xxhash.xxh64_intdigest(f"{doc_id} {copy}".encode(), seed=seed)
 
 
+def _spans(seg, start, end):
+    """A segment's number and a span in it (of at most LONG characters) as one number."""
+    return (seg << 24) + (start << 12) + end
+
+
 def batch_ids(
-    segments: list[str], variants: np.ndarray | None, model: dict, dropout: float, seed: int,
-    keys: np.ndarray | None = None, merges: list | None = None,
-) -> tuple[np.ndarray, np.ndarray]:
-    """All segments at once: flat ids, and their number per segment.  ``keys``
-    stand for those of segments and variants; ``merges`` gets arrays (segment,
-    start, end) of all merges that are made.
-
-    The same agenda in steps: every unfinished segment takes its best candidate
-    in each step, all of them together as array operations.
-    """
+    segments: list[str], model: dict, barred: np.ndarray | None = None, keys: np.ndarray | None = None, dropout: float = 0.0
+) -> tuple[np.ndarray, np.ndarray, list]:
+    """All segments at once: flat ids, their number per segment, and arrays
+    (segment, start, end) of the merges made, in the order of each segment's agenda.
+    Candidates that come up are skipped if they are in ``barred`` (sorted
+    ``_spans``) or, where ``keys`` are given, by the segment's key.
+
+    The agenda in steps: every unfinished segment takes its best candidate in
+    each step, all of them together as array operations."""
     n = len(segments)
     sizes = np.fromiter(map(len, segments), np.int64, n)
     flat = "".join(segments)
     points = code_points(flat)
-    sym = model["by_point"][points].astype(np.int64)
+    sym = model["by_point"][points]
     seg = np.repeat(np.arange(n), sizes)
     starts = np.cumsum(sizes) - sizes
-    pos = np.arange(len(flat)) - np.repeat(starts, sizes)
-    if keys is None and dropout:
-        keys = segment_keys(points, pos, starts, variants, seed)
-    length = np.ones(len(flat), dtype=np.int64)
+    pos = (np.arange(len(flat)) - np.repeat(starts, sizes)).astype(np.int32)
+    length = np.ones(len(flat), dtype=np.int32)
+    merges: list = []
 
     def candidates(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and piece of merging the symbols at left with those at right."""
-        key = sym[left] << 32 | sym[right]
-        at = np.minimum(np.searchsorted(model["keys"], key), len(model["keys"]) - 1)
-        good = (model["keys"][at] == key) & (sym[left] >= 0) & (sym[right] >= 0)
-        piece = np.where(good, model["merged"][at], 0)
-        rank = np.where(good, model["rank"][piece], _NEVER)
-        if dropout and good.any():
-            some = np.flatnonzero(good)
-            l, r = left[some], right[some]
-            rank[some[skipped(keys[seg[l]], pos[l], pos[r] + length[r], dropout)]] = _NEVER
+        known = np.flatnonzero((sym[left] >= 0) & (sym[right] >= 0))
+        a, b = sym[left[known]].astype(_U), sym[right[known]].astype(_U)
+        at = model["pairs"].find(((a << _U(32)) | b) * _SPREAD)
+        good = at < len(model["pairs"].keys)
+        known, at = known[good], at[good]
+        if len(known) and (keys is not None or barred is not None and len(barred)):
+            l, r = left[known], right[known]
+            end = pos[r] + length[r]
+            if keys is not None:
+                stays = ~skipped(keys[seg[l]], pos[l], end, dropout)
+            else:
+                span = _spans(seg[l], pos[l], end)
+                stays = barred[np.minimum(np.searchsorted(barred, span), len(barred) - 1)] != span
+            known, at = known[stays], at[stays]
+        piece, rank = np.zeros(len(left), np.int32), np.full(len(left), _NEVER, np.int32)
+        piece[known] = model["merged"][at]
+        rank[known] = model["rank"][piece[known]]
         return rank, piece
 
     done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    rank = np.full(len(sym), _NEVER)
-    piece = np.zeros(len(sym), dtype=np.int64)
+    rank = np.full(len(sym), _NEVER, np.int32)
+    piece = np.zeros(len(sym), dtype=np.int32)
     if len(sym) > 1:
         inside = np.flatnonzero(seg[:-1] == seg[1:])
         rank[inside], piece[inside] = candidates(inside, inside + 1)
@@ -200,8 +246,7 @@ def batch_ids(
             heads = np.cumsum(counts) - counts
         hit = np.flatnonzero(rank == np.repeat(best, counts))
         hit = hit[np.concatenate(([True], seg[hit][1:] != seg[hit][:-1]))]  # leftmost
-        if merges is not None:
-            merges.append((seg[hit], pos[hit], pos[hit + 1] + length[hit + 1]))
+        merges.append((seg[hit], pos[hit], pos[hit + 1] + length[hit + 1]))
         sym[hit] = piece[hit]
         length[hit] += length[hit + 1]
         keep = np.ones(len(sym), dtype=bool)
@@ -214,7 +259,7 @@ def batch_ids(
             left = left[seg[left] == seg[left + 1]]
             rank[left], piece[left] = candidates(left, left + 1)
     if not done:
-        return np.zeros(0, np.int64), np.zeros(n, np.int64)
+        return np.zeros(0, np.int64), np.zeros(n, np.int64), merges
     seg, pos, sym = (np.concatenate(x) for x in zip(*done))
     order = np.lexsort((pos, seg))
     seg, pos, sym = seg[order], pos[order], sym[order]
@@ -226,172 +271,188 @@ def batch_ids(
         bytes_at = np.repeat(sym < 0, times)
         seg, sym = np.repeat(seg, times), np.repeat(sym, times)
         sym[bytes_at] = np.array(model["bytes"])[np.frombuffer(b"".join(spelt), np.uint8)]
-    return sym, np.bincount(seg, minlength=n)
-
-
-def variant_of(doc_id: int | None, variants: int, seed: int) -> int:
-    return xxhash.xxh64_intdigest(str(doc_id).encode(), seed=seed) % variants
+    return sym, np.bincount(seg, minlength=n), merges
 
 
 def decode_ids(ids: list[int], model: dict) -> str:
-    """The text: pieces and bytes in order, without the space put before it."""
-    return b"".join(map(model["plain"].__getitem__, ids))[1:].decode("utf-8", "surrogatepass")
-
-
-class _Numbers(dict):
-    """Numbers of one variant's segments; new ones are put down in the store."""
-
-    def __init__(self, store: Segments, variant: int):
-        self.store, self.variant = store, variant
-
-    def __missing__(self, key: str) -> int:
-        store = self.store
-        self[key] = n = store.known + len(store.new)
-        store.new.append(key)
-        store.which.append(self.variant)
-        return n
-
-
-class Segments:
-    """Segments met in a task and their ids; starts anew at HELD of them."""
-
-    def __init__(self, model: dict, dropout: float, seed: int):
-        self.options = model, dropout, seed
-        self.clear()
-
-    def clear(self) -> None:
-        self.known, self.new, self.which = 0, [], []
-        self.numbers: dict[int, _Numbers] = {}
-        self.ids = np.zeros(0, np.int32)
-        self.starts = self.counts = np.zeros(0, np.int64)
-
-    def encode(self, texts: list[str], variants: list[int]) -> list[np.ndarray]:
-        """Ids of each text; equal segments of one variant are segmented once."""
-        if self.known > HELD:
-            self.clear()
-        places = []
-        for text, v in zip(texts, variants):
-            own = SEGMENT.findall(" " + text) if text else []
-            numbers = self.numbers.get(v)
-            if numbers is None:
-                numbers = self.numbers[v] = _Numbers(self, v)
-            places.append(np.fromiter(map(numbers.__getitem__, own), np.int64, len(own)))
-        if self.new:
-            ids, counts = batch_ids(self.new, np.array(self.which), *self.options)
-            starts = len(self.ids) + np.cumsum(counts) - counts
-            self.ids = np.concatenate((self.ids, ids.astype(np.int32)))
-            self.starts = np.concatenate((self.starts, starts))
-            self.counts = np.concatenate((self.counts, counts))
-            self.known += len(self.new)
-            self.new, self.which = [], []
-        out = []
-        for at in places:
-            n = self.counts[at]
-            ends = np.cumsum(n)
-            total = int(ends[-1]) if len(ends) else 0
-            out.append(self.ids[np.repeat(self.starts[at] - (ends - n), n) + np.arange(total)])
-        return out
-
-
-class Occurrences:
-    """Segments met in a task with the ids and merges that they have without
-    dropout; starts anew at HELD of them.
-
-    Each occurrence draws for itself.  One that skips none of those merges has
-    those ids; the others are segmented one by one."""
+    """The text: pieces and bytes in order, without the space put before it.  What
+    isn't UTF-8, or no id of the model, is a replacement character."""
+    plain = model["plain"]
+    try:
+        whole = b"".join(map(plain.__getitem__, ids)) if min(ids, default=0) >= 0 else None
+    except IndexError:
+        whole = None
+    if whole is None:
+        whole = b"".join(plain[i] if 0 <= i < len(plain) else _REPLACED for i in ids)
+    try:
+        return whole[1:].decode("utf-8", "surrogatepass")
+    except UnicodeDecodeError:
+        return whole[1:].decode("utf-8", "replace")
+
+
+class _Column:
+    """An array that grows at its end."""
+
+    def __init__(self, kind):
+        self.held, self.n = np.zeros(1024, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.held):
+            self.held = np.concatenate((self.held[: self.n], np.zeros(max(self.n, len(more)), self.held.dtype)))
+        self.held[self.n : self.n + len(more)] = more
+        self.n += len(more)
+
+
+class Segmenter:
+    """Segments met in a task, as trees of what their agendas do.
+
+    A root has the ids and, in order, the merges of a segment that skips none.
+    Each occurrence draws for itself: the first merge that its key skips leads to
+    a branch, whose ids and further merges are those of the agenda without it,
+    and so on until no merge is skipped.  Branches are made when they are first
+    needed and depend on what is skipped alone, so they serve all occurrences.
+    At HELD of them the trees start anew."""
 
     def __init__(self, model: dict, dropout: float):
         self.model, self.dropout = model, dropout
         self.clear()
 
     def clear(self) -> None:
-        self.numbers: dict[str, int] = {}
+        self.roots: dict[int, int] = {}  # by hash of the segment; -1 for one met once
         self.names: list[str] = []
-        self.ids = np.zeros(0, np.int32)
-        self.starts = self.counts = self.first = self.merges = np.zeros(0, np.int64)
-        self.spans = np.zeros((2, 0), np.int32)
-
-    def _learn(self, new: list[str]) -> None:
-        made: list = []
-        ids, counts = batch_ids(new, None, self.model, 0.0, 0, merges=made)
-        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(counts) - counts))
-        self.counts = np.concatenate((self.counts, counts))
-        self.ids = np.concatenate((self.ids, ids.astype(np.int32)))
-        seg, *spans = (np.concatenate(x) for x in zip(*made)) if made else (np.zeros(0, np.int64),) * 3
+        self.skips: list[tuple] = []  # the spans that a node's agenda skips
+        self.ids, self.start, self.end, self.branch = (_Column(np.int32) for _ in range(4))
+        # of nodes: where ids and merges are, and how many; merges made before its last skip
+        self.at, self.count, self.first, self.merges, self.made = (_Column(np.int64) for _ in range(5))
+
+    def _learn(self, names: list[str], skips: list[tuple], made: np.ndarray) -> None:
+        """Nodes of these segments with these skips; ``made`` merges come before the last."""
+        barred = np.sort(np.array([_spans(i, *x) for i, spans in enumerate(skips) for x in spans], np.int64))
+        ids, counts, merges = batch_ids(names, self.model, barred)
+        seg, start, end = (np.concatenate(x) for x in zip(*merges)) if merges else (np.zeros(0, np.int64),) * 3
         order = np.argsort(seg, kind="stable")
-        merges = np.bincount(seg, minlength=len(new))
-        self.first = np.concatenate((self.first, self.spans.shape[1] + np.cumsum(merges) - merges))
-        self.merges = np.concatenate((self.merges, merges))
-        self.spans = np.concatenate((self.spans, np.stack(spans)[:, order].astype(np.int32)), axis=1)
-        self.names += new
-
-    def encode(self, own: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids of segments that occur under these keys, and their numbers."""
+        total = np.bincount(seg, minlength=len(names))
+        order = order[np.arange(len(order)) - np.repeat(np.cumsum(total) - total, total) >= np.repeat(made, total)]
+        left = total - made
+        self.at.add(self.ids.n + np.cumsum(counts) - counts)
+        self.count.add(counts)
+        self.first.add(self.start.n + np.cumsum(left) - left)
+        self.merges.add(left)
+        self.made.add(made)
+        self.ids.add(ids)
+        self.start.add(start[order])
+        self.end.add(end[order])
+        self.branch.add(np.full(len(order), -1))
+        self.names += names
+        self.skips += skips
+
+    def _branches(self, node: np.ndarray, edge: np.ndarray) -> np.ndarray:
+        """The nodes that follow when these nodes skip these merges."""
+        new, first = np.unique(edge, return_index=True)
+        need = self.branch.held[new] < 0
+        new, parent = new[need], node[first[need]]
+        if len(new):
+            spans = zip(self.start.held[new].tolist(), self.end.held[new].tolist())
+            known = len(self.names)
+            made = self.made.held[parent] + new - self.first.held[parent]
+            self._learn(
+                [self.names[p] for p in parent], [(*self.skips[p], x) for p, x in zip(parent, spans)], made
+            )
+            self.branch.held[new] = known + np.arange(len(new))
+        return self.branch.held[edge]
+
+    def _roots(self, flat: str, starts: np.ndarray, ends: np.ndarray, names: np.ndarray) -> np.ndarray:
+        """The root of each segment, known by the hash of its characters; -1 for one
+        met for the first time, and once, which isn't worth a tree yet."""
+        unique, first, inverse, times = np.unique(names, return_index=True, return_inverse=True, return_counts=True)
+        unique = unique.tolist()
+        node = np.fromiter(map(self.roots.get, unique, itertools.repeat(-2)), np.int64, len(unique))
+        node[(node == -1) | (node == -2) & (times > 1)] = -3
+        new, once = np.flatnonzero(node == -3), np.flatnonzero(node == -2)
+        if len(new):
+            node[new] = len(self.names) + np.arange(len(new))
+            self.roots.update((unique[i], n) for i, n in zip(new.tolist(), node[new].tolist()))
+            own = [flat[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())]
+            self._learn(own, [()] * len(own), np.zeros(len(own), np.int64))
+        node[once] = -1
+        self.roots.update((unique[i], -1) for i in once.tolist())
+        return node[inverse]
+
+    def encode(self, flat: str, points: np.ndarray, starts: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of the segments that start there, under these keys, and their numbers."""
         if len(self.names) > HELD:
             self.clear()
-        numbers, known = self.numbers, len(self.names)
-        at = np.fromiter((numbers.setdefault(s, len(numbers)) for s in own), np.int64, len(own))
-        if len(numbers) > known:
-            self._learn(list(itertools.islice(numbers, known, None)))
-        starts, counts, ids = self.starts[at], self.counts[at], self.ids
-        if self.dropout:
-            n = self.merges[at]
-            which = np.repeat(np.arange(len(at)), n)
-            span = self.spans[:, np.repeat(self.first[at] - (np.cumsum(n) - n), n) + np.arange(len(which))]
-            hit = np.unique(which[skipped(keys[which], span[0], span[1], self.dropout)])
-            if len(hit):
-                more, n = batch_ids([own[i] for i in hit], None, self.model, self.dropout, 0, keys=keys[hit])
-                starts[hit], counts[hit] = len(ids) + np.cumsum(n) - n, n
-                ids = np.concatenate((ids, more.astype(np.int32)))
-        ends = np.cumsum(counts)
-        total = int(ends[-1]) if len(ends) else 0
-        return ids[np.repeat(starts - (ends - counts), counts) + np.arange(total)], counts
+        elif len(self.roots) > len(self.names) + MET:
+            self.roots = {k: n for k, n in self.roots.items() if n >= 0}
+        ends = np.append(starts[1:], len(points))
+        size = ends - starts
+        place = np.arange(len(points)) - np.repeat(starts, size)
+        node = np.full(len(starts), -1, np.int64)
+        short = np.flatnonzero(size <= LONG)
+        if len(short):
+            names = np.add.reduceat(mixed(points.astype(_U) + (place.astype(_U) << _U(32))), starts)
+            node[short] = self._roots(flat, starts[short], ends[short], names[short])
+        live = np.flatnonzero(node >= 0) if self.dropout else np.zeros(0, np.int64)
+        while len(live):
+            n = self.merges.held[node[live]]
+            which = np.repeat(np.arange(len(live)), n)
+            at = np.repeat(self.first.held[node[live]] - (np.cumsum(n) - n), n) + np.arange(len(which))
+            hit = np.flatnonzero(skipped(keys[live[which]], self.start.held[at], self.end.held[at], self.dropout))
+            who = which[hit]
+            hit = hit[np.append(True, who[1:] != who[:-1])] if len(hit) else hit
+            live = live[which[hit]]
+            node[live] = self._branches(node[live], at[hit])
+        begin, counts, ids = self.at.held[node], self.count.held[node], self.ids.held[: self.ids.n]
+        alone = np.flatnonzero(node < 0)
+        if len(alone):
+            short, long = alone[size[alone] <= LONG], alone[size[alone] > LONG]
+            own = lambda some: [flat[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist())]
+            drawn = {"keys": keys[short], "dropout": self.dropout} if self.dropout else {}
+            more, n, _ = batch_ids(own(short), self.model, **drawn)
+            each = [segment_ids(s, k, self.model, self.dropout) for s, k in zip(own(long), keys[long])]
+            n = np.concatenate((n, np.array([len(x) for x in each], np.int64)))
+            alone = np.concatenate((short, long))
+            counts[alone], begin[alone] = n, len(ids) + np.cumsum(n) - n
+            ids = np.concatenate((ids, more, *(np.array(x, np.int32) for x in each)))
+        upto = np.cumsum(counts)
+        total = int(upto[-1]) if len(upto) else 0
+        return ids[np.repeat(begin - (upto - counts), counts) + np.arange(total)], counts
 
     def texts(self, texts: list[str], docs: list[int]) -> list[np.ndarray]:
         """Ids of each text, whose document's key is given."""
-        own = [SEGMENT.findall(" " + t) if t else [] for t in texts]
-        sizes = [len(x) for x in own]
-        keys = [occurrence_keys(d, 0, n) for d, n in zip(docs, sizes)]
-        ids, counts = self.encode(list(itertools.chain.from_iterable(own)), np.concatenate(keys))
-        ends = np.concatenate(([0], np.cumsum(counts)))[np.cumsum(sizes)]
-        return np.split(ids, ends[:-1])
-
-    def long(self, text: str, doc: int) -> np.ndarray:
-        """A very long text in pieces cut between segments."""
-        out, first = [], 0
-        segments = (m[0] for m in SEGMENT.finditer(" " + text))
-        while piece := list(itertools.islice(segments, BATCH // 32)):
-            out.append(self.encode(piece, occurrence_keys(doc, first, len(piece)))[0])
-            first += len(piece)
-        return np.concatenate(out)
-
-
-def encode_texts(texts: list[str], variants: list[int], model: dict, dropout: float, seed: int) -> list[np.ndarray]:
-    return Segments(model, dropout, seed).encode(texts, variants)
-
-
-def _encode(model, dropout: float, variants: int | None, seed: int) -> Callable:
+        flat = "".join(" " + t for t in texts if t)
+        if not flat:
+            return [np.zeros(0, np.int32)] * len(texts)
+        points = code_points(flat)
+        size = np.array([len(t) + 1 if t else 0 for t in texts])
+        heads = np.cumsum(size) - size
+        starts = _starts(flat, points, heads[size > 0], self.model["beside"])
+        upto = np.searchsorted(starts, heads + size)
+        segments = np.diff(np.append(0, upto))
+        place = np.arange(len(starts)) - np.repeat(upto - segments, segments)
+        keys = occurrence_keys(np.repeat(np.array(docs, _U), segments), place)
+        parts = [np.zeros(0, np.int32)]
+        counts = [np.zeros(0, np.int64)]
+        for i in range(0, len(starts), BATCH // 2):  # more than one part in very long texts only
+            some = starts[i : i + BATCH // 2]
+            end = starts[i + BATCH // 2] if i + BATCH // 2 < len(starts) else len(flat)
+            ids, n = self.encode(flat[some[0] : end], points[some[0] : end], some - some[0], keys[i : i + BATCH // 2])
+            parts.append(ids)
+            counts.append(n)
+        ends = np.append(0, np.cumsum(np.concatenate(counts)))[upto]
+        return np.split(np.concatenate(parts), ends[:-1])
+
+
+def _encode(model, dropout: float, seed: int) -> Callable:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = model.value
-        store = Segments(tables, dropout, seed) if variants else Occurrences(tables, dropout)
+        store = Segmenter(model.value, dropout)
         for batch in batches:
             sizes = np.array([len(t or "") for t in batch.column(1).to_pylist()])
-            for part in _parts(sizes, BATCH if variants else BATCH // 4):
+            for part in _parts(sizes):
                 own = batch.slice(part.start, len(part))
                 texts = [t or "" for t in own.column(1).to_pylist()]
-                docs = own.column(0).to_pylist()
-                if variants is None:
-                    which = [document_key(i, c, seed) for i, c in zip(docs, own.column(2).to_pylist())]
-                    long = len(texts) == 1 and len(texts[0]) > BATCH
-                    ids = [store.long(texts[0], which[0])] if long else store.texts(texts, which)
-                    yield _encoded(own, texts, ids, tables)
-                    continue
-                which = [variant_of(i, variants, seed) for i in docs]
-                if len(texts) == 1 and len(texts[0]) > 2 * BATCH:
-                    ids = [_long(texts[0], which[0], tables, dropout, seed)]
-                else:
-                    ids = store.encode(texts, which)
-                yield _encoded(own, texts, ids, tables)
+                keys = [document_key(i, c, seed) for i, c in zip(own.column(0).to_pylist(), own.column(2).to_pylist())]
+                yield _encoded(own, texts, store.texts(texts, keys), model.value)
 
     return encode
 
@@ -407,20 +468,6 @@ def _encoded(own: pa.RecordBatch, texts: list[str], ids: list[np.ndarray], model
     )
 
 
-def _long(text: str, variant: int, model: dict, dropout: float, seed: int) -> np.ndarray:
-    """A very long text in pieces cut between segments, so that its working
-    arrays stay small."""
-    out = []
-    segments = (m[0] for m in SEGMENT.finditer(" " + text))
-    while piece := list(itertools.islice(segments, BATCH // 8)):
-        known: dict[str, int] = {}
-        at = np.array([known.setdefault(s, len(known)) for s in piece])
-        ids, counts = batch_ids(list(known), np.full(len(known), variant), model, dropout, seed)
-        cuts = np.split(ids, np.cumsum(counts)[:-1])
-        out += [cuts[i] for i in at]
-    return np.concatenate(out).astype(np.int32)
-
-
 def _parts(sizes: np.ndarray, most: int = BATCH) -> Iterator[range]:
     """Runs of rows of at most so many characters, or one longer row."""
     start, held = 0, 0
@@ -436,7 +483,6 @@ def _parts(sizes: np.ndarray, most: int = BATCH) -> Iterator[range]:
 def encode(
     docs: DataFrame,
     dropout: float = DROPOUT,
-    variants: int | None = VARIANTS,
     seed: int = SEED,
     model_path: str = MODEL,
     carry: tuple[str, ...] = (),
@@ -445,44 +491,47 @@ def encode(
     """``doc_id, n_tokens, token_ids, lossless`` (and ``carry``) per document.
 
     Byte-pair segmentation by an agenda of candidate merges, best score first.
-    A hash keyed by the seed, the document's variant, the segment and the span
-    skips a candidate with probability ``dropout`` when it comes up, so that a
-    word has up to ``variants`` segmentations; the same seed gives the same ids.
-    With ``variants`` None the hash is keyed by the seed, the document's id, its
-    number in the column ``copy``, the place of the segment in the text and the
-    span instead: every occurrence of a word draws for itself.
+    A hash keyed by the seed, the document's id, its number in the column
+    ``copy``, the place of the segment in the text and the merge's span skips a
+    candidate with probability ``dropout`` when it comes up, so that every
+    occurrence of a word draws for itself; the same seed gives the same ids.
     Without dropout the ids are the model's own.  Characters without a piece are
     spelt in bytes, and so is a literal space mark, so every text decodes to
     itself: ``lossless`` says that it did.
 
     The model's tables are broadcast: their size is the vocabulary's.  No
-    shuffle; equal segments of a batch are segmented once, together.
+    shuffle; a task keeps what segments become under the skips it has met.
 
-    Defined cases: null and empty texts have no tokens; a null id has a variant
-    like any other; repeated rows of one copy number are encoded alike; an empty table gives no rows.
+    Defined cases: null and empty texts have no tokens; a null id has a key
+    like any other; repeated rows of one copy number are encoded alike; a very
+    long text is encoded in parts cut between words, and a very long word by an
+    agenda of its own, in steps that grow with its length; an empty table gives
+    no rows; other columns, whatever their names, are read only as ``carry``.
     """
     tables = docs.sparkSession.sparkContext.broadcast(load(model_path))
-    number = F.col(copy).cast("long") if copy else F.lit(0).cast("long")
+    number = F.col(f"`{copy}`").cast("long") if copy else F.lit(0).cast("long")
+    there, back = carried(carry)
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), number.alias("_copy"), *carry
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+        F.coalesce(number, F.lit(0)).alias("_copy"), *there,
     )
-    schema = ["doc_id long"] + [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[3:]]
-    return rows.mapInArrow(
-        _encode(tables, dropout, variants, seed), ", ".join([*schema, "token_ids array<int>", "lossless boolean"])
-    ).select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "lossless", *carry)
+    schema = rows.drop("text", "_copy").schema.add("token_ids", ArrayType(IntegerType())).add("lossless", "boolean")
+    encoded = rows.mapInArrow(_encode(tables, dropout, seed), schema)
+    return encoded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "lossless", *back)
 
 
 def _decode(model) -> Callable:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [decode_ids(x or [], model.value) for x in batch.column(1).to_pylist()]
+            texts = [decode_ids([-1 if i is None else i for i in x or []], model.value) for x in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return decode
 
 
 def decode(tokens: DataFrame, model_path: str = MODEL) -> DataFrame:
-    """``doc_id, text`` from ``doc_id, token_ids``; null ids give an empty text."""
+    """``doc_id, text`` from ``doc_id, token_ids``; null lists give an empty text, and
+    ids that are null, not the model's or no UTF-8 give replacement characters."""
     tables = tokens.sparkSession.sparkContext.broadcast(load(model_path))
     return tokens.select(F.col("doc_id").cast("long").alias("doc_id"), "token_ids").mapInArrow(
         _decode(tables), "doc_id long, text string"
