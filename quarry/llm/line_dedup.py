@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.base import WS_CHARS, Table, text_or_empty
+from quarry.llm.base import WS_CHARS, Table, carried, text_or_empty
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -33,18 +33,23 @@ def line_dedup(
     that holds them.  What stays is joined by ``\\n`` in its old order.
 
     Only (key, row, position) move to count a key, by a partial aggregation; a
-    text moves once, to meet the positions it loses.  The join that brings a hot
-    key's verdict to its lines is one whose skewed partitions Spark can split.
+    text moves once, to meet the positions it loses, which are taken out by a hash
+    set: the work grows with a text's lines, not with their square.  The join that
+    brings a hot key's verdict to its lines is one whose skewed partitions Spark
+    can split.
 
     Returns ``doc_id, n_lines, n_dropped, kept_text`` and ``carry`` per input row.
     Defined cases: a null or empty text is one empty line; a document holding a
-    key in several lines counts once; a null id is no id and never the largest;
-    rows repeated under one id and text are one document in the count and
-    share one verdict; an empty table gives no rows.
+    key in several lines, or in several rows of its id, counts once; rows without
+    id count for no key and hold none, but lose their shared lines; rows repeated
+    under one id are each returned, with the lines of its own text; of equal
+    lines the largest id decides, so there are no ties; an array holds the lines
+    of one text, so a very long text needs memory for itself a few times; an empty
+    table gives no rows; other columns, whatever their names, are read only as
+    ``carry``.
     """
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("body"), *carry
-    )
+    there, back = carried(carry)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("body"), *there)
     at = F.xxhash64("doc_id", "body")  # with doc_id, names the row
     lines = (
         rows.select("doc_id", at.alias("row"), F.posexplode(F.split("body", "\n", -1)).alias("pos", "line"))
@@ -58,17 +63,20 @@ def line_dedup(
     table = Table(lines, "lines")
     shared = (
         table.df.groupBy("h1", "h2")
-        .agg(F.expr("count(distinct struct(doc_id, row))").alias("n"), F.max("doc_id").alias("holder"))
+        .agg(F.countDistinct("doc_id").alias("n"), F.max("doc_id").alias("holder"))
         .where(F.col("n") >= min_docs)
     )
+    keys = Table(shared, "shared-keys")
     hits = Table(
-        table.df.join(Table(shared, "shared-keys").df, ["h1", "h2"])
+        table.df.join(keys.df, ["h1", "h2"])
         .where(~F.col("doc_id").eqNullSafe(F.col("holder")))
         .select(F.col("doc_id").alias("gone_id"), F.col("row").alias("gone_row"), "pos"),
         "shared-lines",
     )
+    table.drop()
+    keys.drop()
     gone = hits.df.groupBy("gone_id", "gone_row").agg(F.collect_set("pos").alias("gone"))
-    kept = F.expr("filter(lines, (x, i) -> not array_contains(gone, i))")
+    kept = F.expr("transform(array_except(sequence(0, size(lines) - 1), gone), p -> lines[p])")
     return (
         rows.withColumn("row", at)
         .join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("row") == F.col("gone_row")), "left")
@@ -80,7 +88,7 @@ def line_dedup(
             F.when(F.col("gone").isNull(), F.col("body"))
             .otherwise(F.array_join(kept, "\n"))
             .alias("kept_text"),
-            *carry,
+            *back,
         )
     )
 
