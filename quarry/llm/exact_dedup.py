@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from quarry.llm.base import WS, Table
 
-#: Stands for a null id while ids are compared, so that it sorts last.
-NO_ID = 2**63 - 1
-
 
 def exact_dedup(
     docs: DataFrame,
@@ -20,14 +17,14 @@ def exact_dedup(
     head_chars: int = 64,
     width: int = 4096,
     growth: int = 16,
-    max_width: int = 1 << 20,
 ) -> DataFrame:
     """Group documents with equal texts; of each group the smallest id stays.
 
     Texts are compared after each run of ASCII white space became one space.
     The text is read as a string of digits, most significant first: the first
     digit is the first ``head_chars`` characters, the next ones are ``width``
-    bytes, ``growth`` times more in each round up to ``max_width``.  A round
+    bytes, ``growth`` times more in each round, so that a text of n bytes has about
+    log n rounds and moves little more than n bytes in them all.  A round
     splits every open group by its next digit.  A document alone in its group
     is done, and so is a group whose texts have ended; what remains goes on with
     the bytes after the digit.  Groups are equal because all their bytes were
@@ -42,14 +39,17 @@ def exact_dedup(
     text_sha256``.  Defined cases: a null text is an empty one; null ids sort
     last and match the group they are in, with ``keep_id`` null only if the whole
     group has no id; rows repeated under one id are one document, each counted
-    in ``group_size`` and all with that document's verdict; an empty table gives
-    no rows; other columns are not read.
+    in ``group_size`` and all with that document's verdict; a text is compared
+    whole, however long; an empty table gives no rows; other columns, whatever
+    their names, are not read.
     """
-    source = F.coalesce(F.col(text_col), F.lit(""))
+    source = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    # an id that compares null ones last
+    ident = F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").cast("long").alias("value"))
     head = F.regexp_extract(source, rf"^(?:[^{WS}]|[{WS}]++){{0,{head_chars}}}+", 0)
     squeeze = lambda c: F.regexp_replace(c, f"[{WS}]+", " ")
     keyed = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
+        ident.alias("id"),
         source.alias("source"),
         head.alias("head"),
     ).select(
@@ -104,8 +104,9 @@ def exact_dedup(
         split = digits.groupBy("node", "digit", "ended").agg(
             F.count("*").alias("n"), F.min("id").alias("first"), F.min("rid").alias("next")
         )
+        counted = Table(split, "radix-split")
         level = Table(
-            digits.join(Table(split, "radix-split").df.hint("merge"), ["node", "digit", "ended"]).select(
+            digits.join(counted.df.hint("merge"), ["node", "digit", "ended"]).select(
                 "id",
                 "sha",
                 "rid",
@@ -116,11 +117,12 @@ def exact_dedup(
             ),
             "radix-level",
         )
-        width = min(width * growth, max_width)
+        counted.drop()
+        width *= growth
     rows = reduce(DataFrame.unionByName, done)
     return rows.select(
-        F.expr(f"nullif(id, {NO_ID})").alias("doc_id"),
-        F.expr(f"nullif(keep, {NO_ID})").alias("keep_id"),
+        F.col("id.value").alias("doc_id"),
+        F.col("keep.value").alias("keep_id"),
         F.col("n").cast("long").alias("group_size"),
         (F.col("id") == F.col("keep")).alias("kept"),
         F.col("sha").alias("text_sha256"),
