@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.base import Table, text_or_empty, words_pattern
+from quarry.llm.base import Table, as_row, text_or_empty, words_pattern
 
 #: Weights of the sources in code-point order of their names, repeating.
 WEIGHTS = (5, 2, 1)
 #: A target stops at so many times its source's size.
 MAX_REPEAT = 3
 #: Documents of one size class are dealt over so many blocks by id.
-BLOCKS = 64
+BLOCKS = 1024
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
@@ -55,49 +55,31 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPE
     )
 
 
-def mix_plan(
-    docs: DataFrame,
-    weights=WEIGHTS,
-    max_repeat: int = MAX_REPEAT,
-    seed: int = 42,
-    blocks: int = BLOCKS,
-    carry: tuple[str, ...] = (),
-) -> DataFrame:
-    """How often the mix takes each document: ``doc_id, source, size,
-    source_size, target, copies``.
-
-    Systematic sampling: within a source every document expects
-    target / source_size copies.  Their prefix sum, moved by one random offset
-    of the source (from ``seed`` and its name), crosses an integer ``copies``
-    times at the document.  Documents stand in order of size class, so the words
-    taken stay near the target whatever the sizes.
-
-    The prefix sum is taken in two steps, so that a source with a third of all
-    rows isn't one task: row numbers inside (source, size class, id modulo
-    ``blocks``), then a running sum over those blocks' counts, of which a source
-    has a fixed number.  Sizes are counted once and kept in the shared folder.
-
-    Defined cases: a null text has size 0; a null source is a source, last in
-    order; a source of size 0 has target 0 and no copies; null ids stand first
-    in their block; repeated rows are separate documents (told apart by a row
-    number written with the sizes); an empty table gives no rows.
-    """
-    sizes = Table(
+def _measured(docs: DataFrame, blocks: int, *more: Column) -> Table:
+    """Sizes and the place of each row in its source: written once, so that a row's
+    number ``rid`` stays its own."""
+    text = text_or_empty()
+    return Table(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             F.col("source").cast("string").alias("source"),
-            F.regexp_count(text_or_empty(), F.lit(words_pattern())).cast("long").alias("size"),
-            *carry,
+            F.regexp_count(text, F.lit(words_pattern())).cast("long").alias("size"),
+            F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("ident"),
+            *more,
         )
         .withColumn("bits", F.length(F.bin("size")))
         .withColumn(
             "class", F.col("bits") * 8 + F.expr("shiftright(size, greatest(bits - 3, 0))")
         )
-        .withColumn("block", F.coalesce(F.pmod("doc_id", F.lit(blocks)), F.lit(-1)))
+        .withColumn("block", F.pmod("ident", F.lit(blocks)))
         .withColumn("rid", F.monotonically_increasing_id())
         .drop("bits"),
         "mix-sizes",
-    ).df
+    )
+
+
+def _copies(sizes: DataFrame, weights, max_repeat: int, seed: int) -> DataFrame:
+    """``doc_id, source, size, source_size, target, copies, rid`` of measured rows."""
     cell = ["source", "class", "block"]
     targets = source_targets(sizes, weights, max_repeat)
     upto = Window.partitionBy("source").orderBy("class", "block")
@@ -116,8 +98,8 @@ def mix_plan(
         *cell, "n_before", "source_size", "target",
         expected.alias("expected"), unit.alias("offset"),
     )
-    inside = Window.partitionBy(*cell).orderBy("doc_id", "rid")
-    ranked = sizes.withColumn("k", F.row_number().over(inside)).alias("r")
+    inside = Window.partitionBy(*cell).orderBy("ident", "doc_id", "rid")
+    ranked = sizes.select(*cell, "doc_id", "size", "rid", F.row_number().over(inside).alias("k")).alias("r")
     at = lambda k: F.floor(k * F.col("expected") + F.col("offset"))
     k = F.col("n_before") + F.col("k")
     return (
@@ -128,24 +110,60 @@ def mix_plan(
             & (F.col("r.block") == F.col("s.block")),
         )
         .withColumn("copies", (at(k) - at(k - 1)).cast("long"))
-        .select("doc_id", "r.source", "size", "source_size", "target", "copies", *carry)
+        .select("doc_id", "r.source", "size", "source_size", "target", "copies", "rid")
     )
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
+def mix_plan(
+    docs: DataFrame,
+    weights=WEIGHTS,
+    max_repeat: int = MAX_REPEAT,
+    seed: int = 42,
+    blocks: int = BLOCKS,
+) -> DataFrame:
+    """How often the mix takes each document: ``doc_id, source, size,
+    source_size, target, copies``.
+
+    Systematic sampling: within a source every document expects
+    target / source_size copies.  Their prefix sum, moved by one random offset
+    of the source (from ``seed`` and its name), crosses an integer ``copies``
+    times at the document.  Documents stand in order of size class, so the words
+    taken stay near the target whatever the sizes.
+
+    The prefix sum is taken in two steps, so that a source with a third of all
+    rows isn't one task: row numbers inside (source, size class, id modulo
+    ``blocks``), then a running sum over those blocks' counts, of which a source
+    has a bounded number.  The targets take one row a source in one task.  Sizes
+    are counted once and kept in the shared folder; texts don't move.
+
+    Defined cases: a null text has size 0; a null source is a source, last in
+    order; a source of size 0 has target 0 and no copies; rows without id stand
+    in order of a hash of their text; repeated rows are separate documents, rows
+    of one id and text alike in all but the order in which they are met; a very
+    long text is counted whole; an empty table gives no rows; other columns,
+    whatever their names, are not read.
+    """
+    sizes = _measured(docs, blocks).df
+    return _copies(sizes, weights, max_repeat, seed).drop("rid")
+
+
+def mix(
+    docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int = 42, blocks: int = BLOCKS
+) -> DataFrame:
     """The mixed documents themselves: each row as often as the plan takes it.
 
-    Same columns as ``docs``; a column clashing with the plan's names is safe
-    because the row travels as one struct.
+    Same columns as ``docs``, whatever their names: a row travels as one struct.
+    It is written with its sizes and meets the number of its copies in one join;
+    what is sorted to find that number has no texts.  Defined cases as for
+    ``mix_plan``.
     """
-    columns = docs.columns
-    row = F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_row")
-    plan = mix_plan(docs.select("doc_id", "text", "source", row), carry=("_row",), **options)
+    rows = _measured(docs, blocks, as_row(docs)).df
+    plan = Table(_copies(rows, weights, max_repeat, seed).where("copies > 0").select("rid", "copies"), "mix-copies").df
     return (
-        plan.where("copies > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+        rows.select("rid", "_row").join(plan, "rid")
+        .select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"))
         .select("_row.*")
-    )
+    )
 
 
 SQL = """
@@ -153,7 +171,7 @@ with s as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as size
   from documents
 ), c as (
-  select *, length(bin(size)) * 8 + (size >> greatest(length(bin(size)) - 3, 0)) as class, doc_id % 64 as block from s
+  select *, length(bin(size)) * 8 + (size >> greatest(length(bin(size)) - 3, 0)) as class, doc_id % 1024 as block from s
 ), t as (
   select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) as no
   from s group by source
