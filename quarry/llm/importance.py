@@ -14,7 +14,7 @@ from quarry.llm.shingles import batch_word_hashes, mixed, normal
 
 #: Buckets of hashed words and word pairs; the models have one count for each.
 BUCKETS = 1 << 16
-#: Target documents that the target model counts at most.
+#: Labelled documents that ``good_texts`` gives at most, so that their ids can be broadcast.
 TARGET = 20_000
 SHARE, SEED = 0.5, 42
 _STEP = np.uint64(0x9FB21C651E98DF25)
@@ -55,40 +55,53 @@ def _model(texts: DataFrame, buckets: int) -> np.ndarray:
 
 
 def _weigh(ratio, buckets: int) -> Callable:
+    """Rows (doc_id, row, log_weight, gumbel_key, order) of (doc_id, row, text, uniform);
+    ``order`` has the key's bits as an integer in the order of the keys."""
+
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            weights = []
-            for h in _documents(batch, 1):
-                g = _grams(h, buckets) if len(h) else h
-                weights.append(float(ratio.value[g].sum()) if len(g) else 0.0)
-            yield pa.record_batch([batch.column(0), pa.array(weights, pa.float64())], ["doc_id", "log_weight"])
+            weights = np.zeros(batch.num_rows)
+            for i, h in enumerate(_documents(batch, 2)):
+                if len(h):
+                    weights[i] = ratio.value[_grams(h, buckets)].sum()
+            key = weights - np.log(-np.log(batch.column(3).to_numpy())) + 0.0
+            bits = key.view(np.int64)
+            order = np.where(bits < 0, bits ^ np.int64(2**63 - 1), bits)
+            yield pa.record_batch(
+                [batch.column(0), batch.column(1), pa.array(weights), pa.array(key), pa.array(order)],
+                ["doc_id", "row", "log_weight", "gumbel_key", "order"],
+            )
 
     return weigh
 
 
-def _top(rows: DataFrame, k: int) -> DataFrame:
-    """Flag the k largest ``order`` (ties: smaller id) as ``selected``.
-
-    The k-th value is found 16 bits at a time from counts per prefix, so no
-    stage sorts all rows: each pass is a partial aggregation into 65536 groups
+def _kth(rows: DataFrame, column: str, k: int) -> tuple[int, int]:
+    """The k-th largest of a column of integers, and how many rows of that value are
+    among the k largest.  It is found 16 bits at a time from counts per prefix, so
+    that no stage sorts rows: each pass is a partial aggregation into 65536 groups
     at most."""
     prefix, left = 0, k
     for shift in (48, 32, 16, 0):
-        above = F.shiftright("order", shift + 16) if shift < 48 else F.lit(0)
-        groups = (
-            rows.where(above == prefix)
-            .groupBy(F.shiftright("order", shift).alias("p")).count().orderBy(F.desc("p")).toPandas()
-        )
+        some = rows if shift == 48 else rows.where(F.shiftright(column, shift + 16) == prefix)
+        groups = some.groupBy(F.shiftright(column, shift).alias("p")).count().orderBy(F.desc("p")).toPandas()
         upto = groups["count"].cumsum().to_numpy()
         at = int(np.searchsorted(upto, left))
         left -= int(upto[at - 1]) if at else 0
         prefix = int(groups["p"][at])
-    # the last ones to take hold the k-th value: few, and known by id
-    ties = rows.where(F.col("order") == prefix).select("rid").orderBy("doc_id", "rid").limit(left)
-    taken = ties.withColumn("tied", F.lit(True))
-    return rows.join(taken, "rid", "left").withColumn(
-        "selected", (F.col("order") > prefix) | F.coalesce("tied", F.lit(False))
-    )
+    return prefix, left
+
+
+def _top(rows: DataFrame, k: int, columns: tuple[str, ...]) -> DataFrame:
+    """Flag the k largest by the columns in turn as ``selected``."""
+    chosen, tied, among = F.lit(False), F.lit(True), rows
+    for column in columns:
+        value, k = _kth(among, column, k)
+        chosen = chosen | (tied & (F.col(column) > value))
+        tied = tied & (F.col(column) == value)
+        among = among.where(F.col(column) == value)
+        if among.count() == k:
+            break
+    return rows.withColumn("selected", chosen | tied)
 
 
 def resample(
@@ -107,40 +120,39 @@ def resample(
     to the weights.
 
     Counts are summed in each task and leave it as ``buckets`` rows at most;
-    the driver holds two vectors of that length, whatever the input.  The raw
-    model counts all documents, the target model at most ``TARGET`` of them.
-
-    Defined cases: null and empty texts weigh 0 (as likely in either); a null
-    id draws noise like any other; repeated rows draw the same noise and are
-    taken one by one; without target rows the target model is uniform; an empty
-    table gives no rows.
+    the driver holds two vectors of that length, whatever the input.  Both models
+    count all the texts that they are given.
+
+    Defined cases: null and empty texts weigh 0 (as likely in either); a very long
+    text is hashed in pieces cut between words; a null id draws noise by its text;
+    equal keys are taken in order of id, and rows alike in both one by one, any of
+    them; without target rows the target model is uniform; an empty table gives no
+    rows; other columns, whatever their names, are not read.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     wanted = target.select(F.col("text").cast("string").alias("text"))
     ratio = _model(wanted, buckets) - _model(rows.select("text"), buckets)
     held = spark.sparkContext.broadcast(ratio)
-    bits = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), "doc_id")), 1, 13), 16, 10).cast("double")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce("text", F.lit("")))))
+    bits = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), name)), 1, 13), 16, 10).cast("double")
     uniform = (bits + 0.5) / F.lit(float(1 << 52))
-    keyed = rows.mapInArrow(_weigh(held, buckets), "doc_id long, log_weight double").withColumn(
-        "gumbel_key", F.col("log_weight") - F.log(-F.log(uniform))
-    )
-    # an integer in the order of the double: its bits, as scaled fixed point
-    scaled = F.least(F.greatest(F.col("gumbel_key"), F.lit(-1e9)), F.lit(1e9)) * F.lit(2.0**32)
     drawn = Table(
-        keyed.withColumn("order", (scaled + F.lit(2.0**62)).cast("long")).withColumn("rid", F.monotonically_increasing_id()),
+        rows.select("doc_id", F.monotonically_increasing_id().alias("row"), "text", uniform.alias("uniform"))
+        .mapInArrow(_weigh(held, buckets), "doc_id long, row long, log_weight double, gumbel_key double, order long")
+        .withColumn("early", F.bitwise_not(F.coalesce("doc_id", F.lit(2**63 - 1)))),  # a smaller id is larger
         "weights",
-    ).df
+    ).df
     k = int(drawn.count() * share)
-    picked = _top(drawn, k) if k else drawn.withColumn("selected", F.lit(False))
+    picked = _top(drawn, k, ("order", "early", "row")) if k else drawn.withColumn("selected", F.lit(False))
     return picked.select("doc_id", "log_weight", "gumbel_key", "selected")
 
 
-def good_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The target: at most TARGET texts labelled to be of good quality."""
+def good_texts(docs: DataFrame, labels: DataFrame, most: int = TARGET) -> DataFrame:
+    """The target: at most ``most`` texts labelled to be of good quality."""
     ids = (
         labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-        .orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id").limit(TARGET)
+        .orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id").limit(most)
     )
-    # TARGET ids: small enough to broadcast
+    # ``most`` ids of 8 bytes: small enough to broadcast
     return docs.join(F.broadcast(ids), "doc_id", "left_semi").select("text")
