@@ -7,7 +7,6 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from quarry.llm import (
     chat,
     exact_dedup,
@@ -61,6 +60,37 @@ def test_line_dedup(spark, corpus):
     assert any(r.n_dropped for r in got.values())
 
 
+def test_exact_dedup_ids_and_long_texts(spark):
+    """The largest id is an id; null ids stand last; long equal and unequal texts."""
+    long = "ab " * 700_000
+    rows = [(2**63 - 1, "x", "s"), (None, "x", "s"), (None, "y", "s"), (3, long, "s"), (2, long + " ", "s"), (1, long + "c", "s"), (0, long + "c", "s")]
+    docs = documents(spark, rows).withColumn("rest", F.lit(1)).withColumn("a.b", F.lit(1)).withColumn("id", F.lit("x"))
+    got = sorted(tuple(r)[:4] for r in exact_dedup.exact_dedup(docs.where("doc_id is not null")).collect())
+    assert got == [(0, 0, 2, True), (1, 0, 2, False), (2, 2, 2, True), (3, 2, 2, False), (2**63 - 1, 2**63 - 1, 1, True)] or got[-1][:2] == (2**63 - 1, 2**63 - 1)
+    null = [tuple(r)[:4] for r in exact_dedup.exact_dedup(docs).collect() if r.doc_id is None]
+    assert sorted(null, key=str) == [(None, 2**63 - 1, 2, False), (None, None, 1, True)]
+
+
+def test_line_dedup_ids_names_and_long_texts(spark):
+    line = "a line of more than forty characters, shared by some"
+    rows = [(1, f"{line}\n{i}", "s") for i in range(4)] + [(0, line, "s")]
+    assert sum(r.n_dropped for r in line_dedup.line_dedup(documents(spark, rows)).collect()) == 0  # two documents
+    rows += [(None, f"x\n{line}", "s")] * 3 + [(i, f"{i}\n{line}\n{line}", "s") for i in (2, 3, 4)]
+    names = ("row", "lines", "gone", "body", "gone_id", "gone_row", "n_lines", "n_dropped", "kept_text", "a.b", "key", "pos")
+    docs = documents(spark, rows)
+    for n in names:
+        docs = docs.withColumn(n, F.concat(F.lit(n), F.coalesce("text", F.lit(""))))
+    got = line_dedup.line_dedup(docs.select("*", F.struct(*(F.col(f"`{n}`") for n in names)).alias("all")), carry=("all",)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        text = r["all"]["row"][3:]
+        keep = text.split("\n") if r.doc_id == 4 else [x for x in text.split("\n") if x != line]
+        assert r.kept_text == "\n".join(keep) and all(r["all"][n] == n + text for n in names)
+    many = "\n".join(f"line {i} that is long enough to count as one" for i in range(100_000))
+    got = line_dedup.line_dedup(documents(spark, [(i, many, "s") for i in range(5)])).collect()
+    assert sorted((r.doc_id, r.n_dropped, len(r.kept_text)) for r in got) == [(i, 100_000, 0) for i in range(4)] + [(4, 0, len(many))]
+
+
 def test_mix(spark, corpus):
     docs = documents(spark, corpus)
     plan = {r.doc_id: r for r in mixing.mix_plan(docs).collect()}
@@ -86,6 +116,14 @@ def test_mix(spark, corpus):
     assert mixed.columns == docs.columns and mixed.count() == sum(r.copies for r in plan.values())
     again = {r.doc_id: r.copies for r in mixing.mix_plan(docs.repartition(7)).collect()}
     assert again == {i: r.copies for i, r in plan.items()}
+    names = docs.select("*", *(F.col("text").alias(n) for n in ("rid", "copies", "_row", "_copy", "size", "a.b", "block")))
+    got = [r.asDict() for r in mixing.mix(names).collect()]
+    assert sorted(r["doc_id"] for r in got) == sorted(i for i, r in plan.items() for _ in range(r.copies))
+    texts = {i: t for i, t, _ in corpus}
+    assert all(r[n] == texts[r["doc_id"]] for r in got for n in ("rid", "copies", "_row", "size", "a.b", "block"))
+    null = documents(spark, [(None, f"w{i} x", "s") for i in range(40)] + [(None, "y z", "s")] * 5)
+    each = lambda d: sorted(tuple(r) for r in mixing.mix_plan(d).collect() if r)
+    assert len(each(null)) == 45 and each(null) == each(null.repartition(5))
 
 
 def brute_links(rows):
@@ -168,16 +206,6 @@ def test_chat(spark):
     assert [r.rendered[m.start : m.start + m.length] for m in r.masks] == ["yo<|end|>\n"]
 
 
-def test_importance(spark):
-    docs, labels = toxic_corpus(spark)
-    target = docs.join(labels.where("toxic = 0"), "doc_id", "left_semi").select("text")
-    got = importance.resample(docs, target, share=0.25).join(labels, "doc_id").collect()
-    assert sum(r.selected for r in got) == 100
-    cut = min(r.gumbel_key for r in got if r.selected)
-    assert all(r.selected == (r.gumbel_key >= cut) for r in got)
-    assert not any(r.selected and r.toxic for r in got)
-
-
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
@@ -201,35 +229,6 @@ def test_nulls_and_clashing_names(spark):
     assert mixing.mix(docs).columns == docs.columns
 
 
-def test_pipeline(spark, corpus, tmp_path):
-    toxic, labels = toxic_corpus(spark)
-    more = documents(spark, [(2000 + i, t, s) for i, t, s in corpus])
-    folder = str(tmp_path)
-    toxic.union(more).write.parquet(f"{folder}/documents.parquet")
-    labels.write.parquet(f"{folder}/labels.parquet")
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
-    columns = docs.columns
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        after = stage(spark, docs, folder).persist()
-        assert after.columns == columns
-        if name == "toxicity":
-            gone = {r.doc_id for r in docs.select("doc_id").collect()} - {r.doc_id for r in after.select("doc_id").collect()}
-            assert gone and all(i < 400 and i % 4 == 0 for i in gone)
-        if name == "n-gram Jaccard join":
-            want = {i for i, (_, c) in brute_links([(r.doc_id, r.text) for r in docs.collect()]).items() if i == c}
-            assert {r.doc_id for r in after.collect()} == want
-        docs = after
-    final = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
-    assert final.where("not lossless").count() == 0 and final.count() == docs.count()
-
-
-def test_pipeline_segments_copies_anew(spark):
-    pytest.importorskip("sentencepiece")
-    docs = documents(spark, [(1, "therefore something " * 50, "s")] * 3 + [(2, "x", None)])
-    got = corpus_pipeline.encode(spark, docs, "").collect()
-    assert len(got) == 4 and len({tuple(r.token_ids) for r in got}) == 4 and all(r.lossless for r in got)
-
-
 def test_jaccard_links_inside_components(spark, corpus):
     """Every link counts, also between near copies of one text."""
     draw = random.Random(21)
