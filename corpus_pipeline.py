@@ -6,46 +6,64 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import jaccard_join, line_dedup, mixing, sentencepiece, toxicity
-from quarry.llm.base import Table, read
+from quarry.llm.base import Table, as_row, read
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity models reject go."""
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
-    scored = toxicity.toxicity(
-        docs.select("doc_id", "text", row), read(spark, sf_dir, "labels"), carry=("_row",),
-        model=toxicity.fit(docs, read(spark, sf_dir, "labels")),
-    )
+    """Documents that the toxicity models reject go.
+
+    Null and empty texts have no evidence and stay; rows alike go or stay
+    together; without labels of both classes nothing goes; an empty table stays
+    empty.  Columns of any name travel as one struct, here and in each stage."""
+    labels = read(spark, sf_dir, "labels")
+    scored = toxicity.toxicity(docs.select("doc_id", "text", as_row(docs)), labels, carry=("_row",), model=toxicity.fit(docs, labels))
     return scored.where("predicted = 0").select("_row.*")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many documents share go, and n_chars follows the text."""
-    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    kept = line_dedup.line_dedup(docs, carry=tuple(others))
-    text = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
-    return kept.select(*(text.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
+    """Lines that many documents share go, and n_chars follows the text.
+
+    A null text becomes an empty one; rows without id lose shared lines and hold
+    none; rows of one id are one document for the count, each with its own text;
+    no row goes."""
+    kept = line_dedup.line_dedup(docs.select("doc_id", "text", as_row(docs)), carry=("_row",))
+    kinds = dict(docs.dtypes)
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast(kinds.get("n_chars", "long"))}
+    return kept.select(*(new.get(c, F.col("_row").getField(c)).alias(c) for c in docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of links the document with the smallest id stays."""
-    linked = jaccard_join.near_duplicates(docs).where("component_id <> doc_id")
+    """Of each component of links the document with the smallest id stays.
+
+    Rows without id, words or text link with nothing and stay; rows of one id are
+    one document and go or stay together; texts stay as they are, whatever their
+    length."""
+    linked = jaccard_join.near_duplicates(docs.select("doc_id", "text")).where("component_id <> doc_id")
     gone = linked.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    rows = docs.select(F.col("doc_id").alias("_id"), as_row(docs))
+    return rows.join(gone, F.col("_id") == F.col("_gone"), "left_anti").select("_row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it.
+
+    Texts without words have size 0 and are taken as their source is; null
+    sources are one source; rows of one id are documents of their own."""
     return mixing.mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of what is left.  Equal rows are the copies that mixing made; they
-    are numbered, so that each is segmented anew."""
-    row = [F.col(f"`{c}`") for c in docs.columns]
-    copies = docs.groupBy(*row).agg(F.count("*").cast("int").alias("_copies"))
-    numbered = copies.withColumn("_number", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return sentencepiece.encode(numbered, variants=None, carry=("source",), copy="_number")
+    """Token ids of what is left: ``doc_id, n_tokens, token_ids, lossless, source``.
+
+    Equal rows are the copies that mixing made; they are numbered, so that each is
+    segmented anew.  Null and empty texts have no tokens; a null id has a key like
+    any other."""
+    copies = docs.select(as_row(docs)).groupBy("_row").agg(F.count("*").cast("int").alias("_copies"))
+    numbered = copies.select(
+        *(F.col("_row").getField(c).alias(c) for c in ("doc_id", "text", "source")),
+        F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_number"),
+    )
+    return sentencepiece.encode(numbered, carry=("source",), copy="_number")
 
 
 STAGES = [
