@@ -173,39 +173,6 @@ def test_quality_rules(spark, corpus):
         assert r.base_failed == (len(w) < 20 or 100 * r.n_repeat_words > 30 * len(w)) and not (r.base_failed and r.kept)
 
 
-def test_warc(spark):
-    long = "<p>" + "x" * 200 + "</p>"
-    pages = [(1, "http://b.example.org/x?q=1", long), (2, "http://a.example.org/", long), (3, "http://a.example.org/", "short"),
-             (4, None, "short"), (5, "http://c.org/é", "WARC/1.1\r\n\r\n" + "ü" * 100), (6, "u", None), (7, "u", "z" * 50_000), (8, "u", long)]
-    got = warc.archive_pages(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
-    assert all(r.intact for r in got)
-    for i, _, html in pages:
-        r = next(x for x in got if x.page_id == i)
-        body = (html or "").encode()
-        assert (r.payload_bytes, r.payload_digest) == (len(body), hashlib.sha256(body).hexdigest())
-        assert (r.record_type, r.refers_to) == (("revisit", 1) if i in (2, 8) else ("response", None))
-    order = [(r.url_key, r.captured, r.page_id) for r in sorted(got, key=lambda r: (r.part, r.place))]
-    assert order == sorted(order)
-
-
-def test_loser_tree():
-    draw = random.Random(4)
-    for k in (0, 1, 2, 3, 7, 16):
-        runs = [sorted((draw.randrange(50), i, j) for j in range(draw.randrange(6))) for i in range(k)]
-        assert list(warc.LoserTree([iter(r) for r in runs])) == sorted(x for r in runs for x in r)
-
-
-def test_chat(spark):
-    turns = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi"), (1, 2, "bob", "yo"), (1, 3, None, None), (2, 600, "ann", "late"), (2, 0, "ann", "x")]
-    got = {(r.conv_id, r.perspective, r.block): r for r in chat.rotate_perspectives(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()}
-    assert set(got) == {(1, "ann", 0), (1, "bob", 0), (1, "unknown", 0), (2, "ann", 0), (2, "ann", 2)}
-    r = got[1, "bob", 0]
-    assert r.rendered == (
-        "<|system|>\nbe kind<|end|>\n<|user name=ann|>\nhi<|end|>\n<|assistant|>\nyo<|end|>\n<|user name=unknown|>\n<|end|>\n"
-    )
-    assert [r.rendered[m.start : m.start + m.length] for m in r.masks] == ["yo<|end|>\n"]
-
-
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
