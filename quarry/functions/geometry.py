@@ -45,8 +45,15 @@ def signed_area(p: str) -> str:
     )
 
 
+def _four(p: str, four: str, other: str) -> str:
+    """A box has four corners, and plain arithmetic on them compiles; polygons of
+    other sizes go through arrays."""
+    return f"case when size({p}) = 4 then {four} else {other} end"
+
+
 def area(p: str) -> Column:
-    return F.expr(f"if(size({p}) < 3, 0D, abs({signed_area(p)}))")
+    x = " + ".join(f"({p}[{i}].x * {p}[{(i + 1) % 4}].y - {p}[{(i + 1) % 4}].x * {p}[{i}].y)" for i in range(4))
+    return F.expr(_four(p, f"abs(({x}) / 2)", f"if(size({p}) < 3, 0D, abs({signed_area(p)}))"))
 
 
 def _intersection(p: str, q: str) -> str:
@@ -175,13 +182,24 @@ def long_axis(p: str) -> Column:
         f"'dy', {p}[(i + 1) % size({p})].y - v.y))"
     )
     lengths = "transform(e, z -> sqrt(z.dx * z.dx + z.dy * z.dy))"
-    return F.expr(
+    general = (
         f"element_at(transform(array({edges}), e -> element_at(transform(array({lengths}), l -> "
         "element_at(transform(array(cast(array_position(l, array_max(l)) as int) - 1), k -> "
         "named_struct('angle', if(array_min(l) <= 1e-9, null, pmod(degrees(atan2(e[k].dy, e[k].dx)), 180D)), "
         "'ratio', if(array_min(l) <= 1e-9, null, l[k] / least(l[(k + 1) % size(l)], l[(k + size(l) - 1) % size(l)])))"
         "), 1)), 1)), 1)"
     )
+    dx, dy = ([f"({p}[{(i + 1) % 4}].{v} - {p}[{i}].{v})" for i in range(4)] for v in "xy")
+    length = [f"sqrt({x} * {x} + {y} * {y})" for x, y in zip(dx, dy)]
+    longest = f"greatest({', '.join(length)})"
+    pick = lambda value: "case " + " ".join(
+        f"when {length[i]} = {longest} then {value(i)}" for i in range(4)
+    ) + " end"
+    angle = pick(lambda i: f"pmod(degrees(atan2({dy[i]}, {dx[i]})), 180D)")
+    ratio = pick(lambda i: f"{length[i]} / least({length[(i + 1) % 4]}, {length[(i + 3) % 4]})")
+    flat = f"least({', '.join(length)}) <= 1e-9"
+    four = f"named_struct('angle', if({flat}, null, {angle}), 'ratio', if({flat}, null, {ratio}))"
+    return F.expr(_four(p, four, general))
 
 
 def angle_difference(a, b) -> Column:
@@ -202,14 +220,22 @@ def fold_angle(c, unit: str = "guess") -> Column:
 
 
 def near_edge(p: str, width, height, margin: float = 0.035) -> Column:
-    xs, ys = F.transform(p, lambda v: v["x"]), F.transform(p, lambda v: v["y"])
     w, h = (F.col(v) if isinstance(v, str) else v for v in (width, height))
+    b = bounds(p)
     return (
-        (F.array_min(xs) <= w * margin) | (F.array_min(ys) <= h * margin)
-        | (F.array_max(xs) >= w * (1 - margin)) | (F.array_max(ys) >= h * (1 - margin))
+        (b["x0"] <= w * margin) | (b["y0"] <= h * margin)
+        | (b["x1"] >= w * (1 - margin)) | (b["y1"] >= h * (1 - margin))
     )
 
 
+def bounds(p: str) -> dict[str, Column]:
+    """x0, x1, y0, y1 of a polygon."""
+    end = lambda v, four, rest: F.expr(
+        _four(p, f"{four}({', '.join(f'{p}[{i}].{v}' for i in range(4))})", f"{rest}(transform({p}, c -> c.{v}))")
+    )
+    return {f"{v}{s}": end(v, f, r) for v in "xy" for s, f, r in ((0, "least", "array_min"), (1, "greatest", "array_max"))}
+
+
 def area_ratio(p: str, width, height) -> Column:
     w, h = (F.col(v) if isinstance(v, str) else v for v in (width, height))
     return area(p) / F.greatest(F.lit(1.0), w * h)
@@ -233,7 +259,9 @@ def is_angled(folded: Column) -> Column:
 
 
 def centre(p: str) -> Column:
-    mean = lambda f: F.expr(f"aggregate({p}, 0D, (s, v) -> s + v.{f}) / size({p})")
+    mean = lambda f: F.expr(
+        _four(p, f"({' + '.join(f'{p}[{i}].{f}' for i in range(4))}) / 4", f"aggregate({p}, 0D, (s, v) -> s + v.{f}) / size({p})")
+    )
     return F.struct(mean("x").alias("x"), mean("y").alias("y"))
 
 

@@ -10,36 +10,65 @@ from quarry.operators.components import components
 from quarry.tables import Table
 
 
+def _parts(bits: str, radius: int, width: int) -> list:
+    """The hash in so many blocks that hashes ``radius`` bits apart differ by one bit
+    at most in one of them, as Columns."""
+    blocks = radius // 2 + 1
+    cuts = [width * i // blocks for i in range(blocks + 1)]
+    return [
+        F.shiftrightunsigned(bits, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(cuts, cuts[1:])
+    ]
+
+
+def _probes(bits: str, radius: int, width: int):
+    """(block, value) of each block's value and of all values one bit from it: joined
+    with the blocks as they are, they find every pair in reach.  Blocks are wide
+    (21 bits for 64 and a radius of 5), so that few strangers meet in one."""
+    blocks = radius // 2 + 1
+    cuts = [width * i // blocks for i in range(blocks + 1)]
+    return F.flatten(F.array(*(
+        F.array(*(
+            F.struct(F.lit(i).alias("block"), part.bitwiseXOR(F.lit(flip)).alias("value"))
+            for flip in [0] + [1 << k for k in range(cuts[i + 1] - cuts[i]) if radius]
+        ))
+        for i, part in enumerate(_parts(bits, radius, width))
+    )))
+
+
+def _blocks(bits: str, radius: int, width: int):
+    """(block, value) of each block."""
+    parts = enumerate(_parts(bits, radius, width))
+    return F.array(*(F.struct(F.lit(i).alias("block"), part.alias("value")) for i, part in parts))
+
+
+def _first_block(a: str, b: str, radius: int, width: int):
+    """The first block in which two hashes differ by one bit at most: a pair comes up
+    in each such block, and counts in the first."""
+    both = zip(_parts(a, radius, width), _parts(b, radius, width))
+    return F.coalesce(*(F.when(F.bit_count(x.bitwiseXOR(y)) <= min(radius, 1), F.lit(i)) for i, (x, y) in enumerate(both)))
+
+
 def hamming_pairs(df: DataFrame, key: str, bits: str, radius: int = 5, width: int = 64) -> DataFrame:
     """``a, b, distance`` for ids with hashes at most ``radius`` bits apart, a < b.
 
-    Two such hashes agree in one of radius + 1 blocks, so an equi-join on (block,
-    value) finds them all.  Equal hashes join as one: a group of n copies gives
-    n - 1 pairs with its smallest id, which is all that grouping needs."""
-    groups = df.groupBy(bits).agg(F.min(key).alias("first"))
-    groups = Table(groups.select(F.col(bits).alias("_h"), "first"), "hashes").df
+    Two such hashes differ by one bit at most in one of radius // 2 + 1 blocks, so an
+    equi-join of blocks with blocks and their one-bit neighbours finds them all.
+    Equal hashes join as one: a group of n copies gives n - 1 pairs with its
+    smallest id, which is all that grouping needs."""
+    df = Table(df.select(key, bits), "hashed").df
+    groups = Table(df.groupBy(F.col(bits).alias("_h")).agg(F.min(key).alias("first")), "hashes").df
     copies = (
         df.join(groups, F.col(bits) == F.col("_h")).where(F.col(key) > F.col("first"))
         .select(F.col("first").alias("a"), F.col(key).alias("b"), F.lit(0).alias("distance"))
     )
-    blocks, size = radius + 1, -(-width // (radius + 1))
-    parts = F.array(
-        *(
-            F.struct(
-                F.lit(i).alias("block"),
-                F.shiftrightunsigned("_h", i * size).bitwiseAND(F.lit((1 << size) - 1)).alias("value"),
-            )
-            for i in range(blocks)
-        )
-    )
-    banded = groups.select("_h", "first", F.inline(parts))
-    other = banded.select(F.col("_h").alias("_h2"), F.col("first").alias("second"), "block", "value")
+    probing = groups.select("_h", "first", F.inline(_probes("_h", radius, width)))
+    other = groups.select(F.col("_h").alias("_h2"), F.col("first").alias("second"), F.inline(_blocks("_h", radius, width)))
     near = (
-        banded.join(other, ["block", "value"])
+        probing.join(other, ["block", "value"])
         .where(F.col("first") < F.col("second"))
         .withColumn("distance", geometry.hamming("_h", "_h2"))
-        .where(F.col("distance") <= radius)
-        .select(F.col("first").alias("a"), F.col("second").alias("b"), "distance").distinct()
+        .where((F.col("distance") <= radius) & (F.col("block") == _first_block("_h", "_h2", radius, width)))
+        .select(F.col("first").alias("a"), F.col("second").alias("b"), "distance")
     )
     return copies.unionByName(near)
 
@@ -76,22 +105,19 @@ def similar_pairs(
         rows.join(alike, ["_h", "_v"]).where("_key > first")
         .select(F.col("first").alias("a"), F.col("_key").alias("b"), F.lit(0).alias("distance"), F.lit(1.0).alias("correlation"))
     )
-    blocks, size = radius + 1, -(-width // (radius + 1))
-    part = lambda h, i: F.shiftrightunsigned(h, i * size).bitwiseAND(F.lit((1 << size) - 1))
-    parts = F.array(*(F.struct(F.lit(i).alias("block"), part("_h", i).alias("value")) for i in range(blocks)))
-    banded = Table(alike.select("_h", "first", F.inline(parts)), "blocks").df
-    crowds = banded.groupBy("block", "value").agg(F.count("*").alias("_n")).where("_n > 1")
-    crowds = Table(crowds.select("block", "value", F.ceil(F.col("_n") / CROWD).cast("int").alias("_tasks")), "crowds").df
-    placed = banded.join(crowds, ["block", "value"])
-    left = placed.withColumn("_salt", F.pmod(F.xxhash64("first"), F.col("_tasks")).cast("int")).drop("_tasks")
-    right = placed.select(
-        "block", "value", F.col("_h").alias("_h2"), F.col("first").alias("second"),
-        F.explode(F.sequence(F.lit(0), F.col("_tasks") - 1)).alias("_salt"),
+    banded = Table(alike.select("_h", "first", F.inline(_blocks("_h", radius, width))), "blocks").df
+    crowds = banded.groupBy("block", "value").agg(F.ceil(F.count("*") / CROWD).cast("int").alias("_tasks"))
+    crowds = Table(crowds, "crowds").df
+    placed = banded.withColumnsRenamed({"_h": "_h2", "first": "second"}).join(crowds, ["block", "value"])
+    right = placed.withColumn("_salt", F.pmod(F.xxhash64("second"), F.col("_tasks")).cast("int")).drop("_tasks")
+    # a probe goes to every part of a crowded block
+    left = (
+        alike.select("_h", "first", F.inline(_probes("_h", radius, width))).join(crowds, ["block", "value"])
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_tasks") - 1))).drop("_tasks")
     )
-    # a pair comes up in each block that agrees; the first of them has it
-    first_block = F.coalesce(*(F.when(part("_h", i) == part("_h2", i), F.lit(i)) for i in range(blocks)))
     near = (
-        left.join(right, ["block", "value", "_salt"]).where("first < second").where(F.col("block") == first_block)
+        left.join(right, ["block", "value", "_salt"]).where("first < second")
+        .where(F.col("block") == _first_block("_h", "_h2", radius, width))
         .withColumn("distance", geometry.hamming("_h", "_h2")).where(F.col("distance") <= radius)
         .select(F.col("first").alias("a"), F.col("second").alias("b"), "distance")
     )
@@ -120,10 +146,17 @@ def rank(rows: DataFrame, key: str, keep: int = 2) -> DataFrame:
 
 
 def number_groups(rows: DataFrame) -> DataFrame:
-    """``duplicate_group`` 1..G in order of the smallest member.  One row a group
-    is numbered, not one a member."""
-    names = rows.select("component").distinct().withColumn(
-        "duplicate_group", F.row_number().over(Window.orderBy("component"))
+    """``duplicate_group`` 1..G in order of the smallest member.  One row a group is
+    numbered, in ranges of the order whose counts alone meet in one place."""
+    names = rows.select("component").distinct().repartitionByRange("component").sortWithinPartitions("component")
+    names = Table(names.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "groups").df
+    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = names.groupBy("_part").agg(F.count("*").alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before")
+    )
+    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    names = names.join(F.broadcast(before), "_part").select(  # one row a partition
+        "component", (F.col("_before") + inside + 1).cast("int").alias("duplicate_group")
     )
     return rows.join(names, "component")
 

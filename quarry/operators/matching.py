@@ -9,35 +9,44 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import geometry, paths
+from quarry.tables import Table
 
 #: Limits of the issue rules.
 EVAL_CONF, MATCH_IOU, LOW_IOU, LOW_CONF, ANGLE_RATIO, ANGLE_ERROR = 0.25, 0.5, (0.10, 0.80), 0.8, 1.10, 10.0
 ADVICE = {"FN": "check label", "LOW_IOU": "check box", "LOW_CONF": "add samples", "ANGLE_ERR": "check angle", "FP": "check for a missing label"}
 
 
+def _bounded(df: DataFrame, polygon: str, name: str) -> DataFrame:
+    return df.withColumns({f"{name}{n}": c for n, c in geometry.bounds(polygon).items()})
+
+
+def _meet(a: str, b: str) -> str:
+    """Whether the bounds of two polygons share an area."""
+    return f"{a}x0 < {b}x1 and {b}x0 < {a}x1 and {a}y0 < {b}y1 and {b}y0 < {a}y1"
+
+
 def overlaps(gt: DataFrame, pred: DataFrame, same_class: bool = True) -> DataFrame:
-    """``image, gt_index, pred_index, iou, conf`` of boxes in one image that overlap."""
+    """``image, gt_index, pred_index, iou, conf`` of boxes in one image that overlap;
+    without ``same_class``, of any two classes, and ``same`` tells if they are one."""
     g = gt.select("image", "gt_index", F.col("cls").alias("g_cls"), F.col("poly").alias("gp"))
     p = pred.select("image", "pred_index", F.col("cls").alias("p_cls"), F.col("poly").alias("pp"), "conf")
     # boxes apart along an axis share nothing: no need to clip them
-    low = lambda a, v: F.array_min(F.transform(a, lambda z: z[v]))
-    high = lambda a, v: F.array_max(F.transform(a, lambda z: z[v]))
-    bounds = lambda df, a, n: df.withColumns(
-        {f"{n}{v}{s}": f(a, v) for v in "xy" for s, f in (("0", low), ("1", high))}
-    )
-    pairs = bounds(g, "gp", "g").join(bounds(p, "pp", "p"), "image")
+    pairs = _bounded(g, "gp", "g").join(_bounded(p, "pp", "p"), "image")
+    pairs = pairs.where(_meet("g", "p")).withColumn("same", F.col("g_cls").eqNullSafe(F.col("p_cls")))
+    named = ["image", "gt_index", "pred_index", "conf"]
     if same_class:
-        pairs = pairs.where("g_cls = p_cls")
-    meet = "gx0 < px1 and px0 < gx1 and gy0 < py1 and py0 < gy1"
-    near = pairs.where(meet).select("image", "gt_index", "pred_index", "gp", "pp", "conf")
-    return geometry.with_iou(near, "gp", "pp").select("image", "gt_index", "pred_index", "iou", "conf")
+        near = geometry.with_iou(pairs.where("same").select(*named, "gp", "pp"), "gp", "pp")
+        return near.select("image", "gt_index", "pred_index", "iou", "conf")
+    near = geometry.with_iou(pairs.select(*named, "same", "gp", "pp"), "gp", "pp")
+    return near.select("image", "gt_index", "pred_index", "iou", "conf", "same")
 
 
 def greedy_match(candidates: DataFrame, least_iou: float = MATCH_IOU) -> DataFrame:
     """One-to-one pairs per image: the best IoU first (ties: smaller indices), taken
-    if both are still free.  Candidates of an image come in that order in a sorted
-    shuffle and are read as a stream: what is held is the taken boxes of one image."""
-    wanted = candidates
+    if both are still free.  Each choice depends on those before it, so an image is
+    one task's; its candidates come in that order in a sorted shuffle and are read
+    as a stream: what is held is the taken boxes of one image."""
+    wanted = candidates.where(F.col("iou") >= least_iou)
     at = [wanted.columns.index(c) for c in ("image", "gt_index", "pred_index", "iou")]
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,9 +81,10 @@ def issues(gt: DataFrame, pred: DataFrame) -> DataFrame:
     """A row per ground truth and per false positive, with issues in a fixed order
     and advice.  Confident predictions decide FN and FP, all of them the rest."""
     confident = pred.where(F.col("conf") >= EVAL_CONF)
-    evaluated = greedy_match(overlaps(gt, confident))
-    diagnosed = greedy_match(overlaps(gt, pred))
-    best = best_candidates(overlaps(gt, pred, same_class=False))
+    pairs = Table(overlaps(gt, pred, same_class=False), "overlaps").df  # boxes are clipped once
+    evaluated = greedy_match(pairs.where((F.col("conf") >= EVAL_CONF) & F.col("same")))
+    diagnosed = greedy_match(pairs.where("same"))
+    best = best_candidates(pairs)
     axis = lambda df, i, n: df.select("image", i, geometry.long_axis("poly").alias(n))
     on = ["image", "gt_index"]
     rows = (
@@ -123,14 +133,26 @@ def issue_counts(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 def pair_overlaps(boxes: DataFrame, least: float = 0.15) -> DataFrame:
     """Per image: pairs, overlapping pairs (areas above 1), their share, and
-    whether any pair overlaps (strictly, whatever the areas)."""
-    a = boxes.select("image", F.col("index").alias("i"), F.col("poly").alias("p"))
-    b = boxes.select("image", F.col("index").alias("j"), F.col("poly").alias("q"))
-    pairs = geometry.with_areas(a.join(b, "image").where("i < j").select("image", "p", "q"), "p", "q")
-    pairs = pairs.withColumn("o", F.col("area_both") / F.greatest(F.lit(1.0), F.least("area_p", "area_q")))
+    whether any pair overlaps (strictly, whatever the areas).
+
+    Pairs are counted from the number of boxes; only those whose bounds meet are
+    joined and clipped, and an image without any has none that overlap."""
+    sized = boxes.select("image", F.col("index").alias("i"), F.col("poly").alias("p"), geometry.area("poly").alias("area"))
+    each = sized.groupBy("image", "i").agg(F.count("*").alias("n"), F.count_if(F.col("area") > 1).alias("m"))
+    # pairs of different indices
+    among = lambda c: ((F.sum(c) * F.sum(c) - F.sum(F.col(c) * F.col(c))) / 2).cast("long")
+    counts = each.groupBy("image").agg(among("n").alias("any"), among("m").alias("pairs"))
+    a = _bounded(sized, "p", "a")
+    b = _bounded(sized.select("image", F.col("i").alias("j"), F.col("p").alias("q")), "q", "b")
+    near = a.join(b, "image").where("i < j").where(_meet("a", "b")).select("image", "p", "q")
+    near = geometry.with_areas(near, "p", "q")
+    near = near.withColumn("o", F.col("area_both") / F.greatest(F.lit(1.0), F.least("area_p", "area_q")))
     real = (F.col("area_p") > 1) & (F.col("area_q") > 1)
-    return pairs.groupBy("image").agg(
-        F.count_if(real).alias("pairs"),
-        F.count_if(real & (F.col("o") >= least)).alias("overlapping"),
-        F.bool_or(F.col("o") > least).alias("has_overlap"),
-    ).withColumn("overlap_pair_ratio", F.coalesce(F.try_divide("overlapping", "pairs"), F.lit(0.0)))
+    found = near.groupBy("image").agg(
+        F.count_if(real & (F.col("o") >= least)).alias("overlapping"), F.bool_or(F.col("o") > least).alias("has_overlap")
+    )
+    return (
+        counts.where("any > 0").drop("any").join(found, "image", "left")
+        .fillna(0, ["overlapping"]).fillna(False, ["has_overlap"])
+        .withColumn("overlap_pair_ratio", F.coalesce(F.try_divide("overlapping", "pairs"), F.lit(0.0)))
+    )

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,12 +65,33 @@ def step_of_seconds(fps: Column, seconds: float) -> Column:
     return F.greatest(F.lit(1), F.bround(fps * seconds).cast("int"))
 
 
-def spaced(df: DataFrame, by: str, time: str, gap: float, every: float | None = None) -> DataFrame:
+def spaced(df: DataFrame, by: str, time: str, gap: float) -> DataFrame:
     """The first row of each group, then each that is at least ``gap`` after the
-    last one taken.  State is the last time taken, folded over the group's times."""
-    times = df.groupBy(by).agg(F.array_sort(F.collect_set(F.col(time).cast("double"))).alias("ts"))
-    fold = (
-        f"aggregate(ts, cast(array() as array<double>), (s, t) -> "
-        f"if(size(s) = 0 or t - element_at(s, -1) >= {float(gap)}, concat(s, array(t)), s))"
-    )
-    return times.select(by, F.explode(F.expr(fold)).alias(time))
+    last one taken.  Different times come in a shuffle sorted by group and time and
+    are read as a stream: what is held is one batch and the last time taken."""
+    times = df.select(F.col(by), F.col(time).cast("double").alias(time)).where(F.col(time).isNotNull()).distinct()
+    ordered = times.repartition(by).sortWithinPartitions(by, time)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, last = None, None
+        for batch in batches:
+            names, t = batch.column(0), batch.column(1).to_numpy()
+            runs = pc.run_end_encode(names)
+            taken, start = [], 0
+            for end, name in zip(runs.run_ends.to_pylist(), runs.values.to_pylist()):
+                if last is None or name != group:
+                    group, last = name, -np.inf
+                at = start + int(np.searchsorted(t[start:end], last + gap))
+                # sums round: the difference itself decides
+                at = max(at - 1, start) if at > start and t[at - 1] - last >= gap else at
+                while at < end:
+                    if t[at] - last >= gap:
+                        taken.append(at)
+                        last = t[at]
+                        at = max(at + 1, start + int(np.searchsorted(t[start:end], last + gap)) - 1)
+                    else:
+                        at += 1
+                start = end
+            yield batch.take(pa.array(taken, pa.int64()))
+
+    return ordered.mapInArrow(pick, times.schema)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quarry.functions import geometry, paths
 from quarry.operators import audit, dedup, matching, splits, stats, triage
 from quarry.sources import readers, sinks
+from quarry.tables import Table
 
 CATALOGUE: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -135,7 +136,55 @@ def q07_pair_overlap(spark, sf):
     return matching.pair_overlaps(poly).withColumn("overlap_pair_ratio", F.round("overlap_pair_ratio", 6))
 
 
-@query()
+def _corners_sql(cx: str, cy: str, w: str, h: str, angle: str) -> str:
+    """Corners of a box in SQL, in the order of ``geometry.box``."""
+    corner = lambda i, j: (
+        f"{{'x': {cx} + {w} * {i} * cos({angle}) - {h} * {j} * sin({angle}), "
+        f"'y': {cy} + {w} * {i} * sin({angle}) + {h} * {j} * cos({angle})}}"
+    )
+    return "[" + ", ".join(corner(i, j) for i, j in ((-0.5, -0.5), (0.5, -0.5), (0.5, 0.5), (-0.5, 0.5))) + "]"
+
+
+def _common_area_sql(pairs: str, keys: str) -> str:
+    """CTEs from ``pairs(keys, p, q)``, counter-clockwise quadrilaterals, to
+    ``common(keys, area)``: corners of either inside the other and crossings of
+    edges, in order around their middle."""
+    side = lambda a, b, v: f"(({b}).x - ({a}).x) * (({v}).y - ({a}).y) - (({b}).y - ({a}).y) * (({v}).x - ({a}).x)"
+    inside = lambda v, q: " and ".join(f"{side(f'{q}[{i + 1}]', f'{q}[{(i + 1) % 4 + 1}]', v)} >= -1e-9" for i in range(4))
+    return f"""
+edges as (
+  select {keys}, p, q, p[e1] as a, p[e1 % 4 + 1] as b, q[e2] as c, q[e2 % 4 + 1] as d
+  from {pairs}, range(1, 5) r(e1), range(1, 5) t(e2)
+), sides as (
+  select {keys}, a, b, {side('a', 'b', 'c')} as sc, {side('a', 'b', 'd')} as sd, {side('c', 'd', 'a')} as sa, {side('c', 'd', 'b')} as sb from edges
+), points as (
+  select {keys}, a.x + sa / (sa - sb) * (b.x - a.x) as x, a.y + sa / (sa - sb) * (b.y - a.y) as y
+  from sides where sc * sd < 0 and sa * sb < 0
+  union all
+  select {keys}, v.x, v.y from (select {keys}, q, unnest(p) as v from {pairs}) where {inside('v', 'q')}
+  union all
+  select {keys}, v.x, v.y from (select {keys}, p, unnest(q) as v from {pairs}) where {inside('v', 'p')}
+), around as (
+  select *, avg(x) over w as mx, avg(y) over w as my, count(*) over w as n from points window w as (partition by {keys})
+), ring as (
+  select *, coalesce(lead(x) over w, first_value(x) over w) as nx, coalesce(lead(y) over w, first_value(y) over w) as ny
+  from around window w as (partition by {keys} order by atan2(y - my, x - mx))
+), common as (
+  select {keys}, abs(sum((x - mx) * (ny - my) - (nx - mx) * (y - my))) / 2 as area from ring group by {keys}
+)"""
+
+
+#: Boxes with corners from line items.
+POLY_SQL = f"""{BOX_SQL}, boxes as (select *, {_corners_sql('cx', 'cy', 'w', 'h', 'angle')} as poly from b)"""
+
+
+@query(f"""
+with {POLY_SQL}, pairs as (
+  select row_number() over () as id, x.image, x.index as i, y.index as j, x.poly as p, y.poly as q, x.w * x.h as sp, y.w * y.h as sq
+  from boxes x join boxes y on x.image = y.image and x.index < y.index
+), {_common_area_sql('pairs', 'id')}
+select image, i, j, round(coalesce(area, 0) / (sp + sq - coalesce(area, 0)), 6) + 0.0 as iou from pairs left join common using (id)
+""")
 def q08_rotated_iou(spark, sf):
     boxes = _boxes(spark, sf)
     a = boxes.select("image", F.col("index").alias("i"), F.col("poly").alias("p"))
@@ -242,7 +291,7 @@ pairs as (
 
 def _hashes(spark, sf) -> DataFrame:
     docs = table(spark, sf, "documents").where("text is not null")
-    return dedup.token_simhash(docs, "doc_id", "text")
+    return Table(dedup.token_simhash(docs, "doc_id", "text"), "simhashes").df
 
 
 @query(f"with {HASH_SQL} select a, b, distance from pairs")
@@ -396,13 +445,60 @@ def _matching_input(spark, sf) -> tuple[DataFrame, DataFrame]:
     return gt, pred
 
 
-@query()
+#: Ground truth, predictions, their IoU, and the greedy matches of all and of confident predictions.
+MATCH_SQL = f"""{POLY_SQL}, gt as (select image::varchar as image, index as g, index % 2 as cls, poly, w * h as area, w, h, angle from boxes),
+pred as (
+  select image::varchar as image, index as p, index % 2 as cls, (index % 10 + 1) / 10.0 as conf, w * 0.95 * h as area, w * 0.95 as w, h, angle + 0.05 as angle,
+    {_corners_sql('(cx + index % 4 * 2)', '(cy + 1)', '(w * 0.95)', 'h', '(angle + 0.05)')} as poly from boxes
+), pairs as (
+  select row_number() over () as id, gt.image, g, p, gt.cls = pred.cls as same, conf, gt.poly as p_, pred.poly as q_, gt.area as sp, pred.area as sq
+  from gt join pred on gt.image = pred.image
+), shapes as (select id, p_ as p, q_ as q from pairs), {_common_area_sql('shapes', 'id')},
+scored as (
+  select image, g, p, same, conf, round(coalesce(area, 0) / (sp + sq - coalesce(area, 0)), 12) as iou from pairs left join common using (id)
+), turns as (
+  select s.*, c.least, row_number() over (partition by image, c.least order by iou desc, g, p) as k
+  from scored s join (values (0.0), (0.25)) c(least) on conf >= c.least where same and iou >= 0.5
+), matched(image, least, k, g, p, iou, conf, gs, ps, free) as (
+  select image, least, k, g, p, iou, conf, [g], [p], true from turns where k = 1
+  union all
+  select t.image, t.least, t.k, t.g, t.p, t.iou, t.conf,
+    case when list_contains(m.gs, t.g) or list_contains(m.ps, t.p) then m.gs else list_append(m.gs, t.g) end,
+    case when list_contains(m.gs, t.g) or list_contains(m.ps, t.p) then m.ps else list_append(m.ps, t.p) end,
+    not (list_contains(m.gs, t.g) or list_contains(m.ps, t.p))
+  from matched m join turns t on t.image = m.image and t.least = m.least and t.k = m.k + 1
+), taken as (select image, least, g, p, iou, conf from matched where free)"""
+
+
+@query(f"""
+with recursive {MATCH_SQL}
+select image, g as gt_index, p as pred_index, round(iou, 6) + 0.0 as iou, conf from taken where least = 0
+""")
 def q24_greedy_match(spark, sf):
     gt, pred = _matching_input(spark, sf)
     return matching.greedy_match(matching.overlaps(gt, pred)).withColumn("iou", F.round("iou", 6))
 
 
-@query()
+@query(f"""
+with recursive {MATCH_SQL}, axes as (
+  select image, g as index, 'g' as side, degrees(angle) + case when w < h then 90 else 0 end as angle, greatest(w, h) / least(w, h) as ratio from gt
+  union all
+  select image, p, 'p', degrees(angle) + case when w < h then 90 else 0 end, greatest(w, h) / least(w, h) from pred
+), best as (select image, g, max(iou) as best from scored group by image, g having max(iou) > 0),
+found as (
+  select gt.image, gt.g, e.p is null as fn, b.best >= 0.10 and b.best < 0.80 as low_iou, d.conf < 0.8 as low_conf,
+    x.ratio >= 1.10 and least(abs(x.angle - y.angle) % 180, 180 - abs(x.angle - y.angle) % 180) > 10 as angle_err
+  from gt left join (select * from taken where least = 0.25) e on e.image = gt.image and e.g = gt.g
+  left join (select * from taken where least = 0) d on d.image = gt.image and d.g = gt.g
+  left join best b on b.image = gt.image and b.g = gt.g
+  left join axes x on x.image = gt.image and x.index = gt.g and x.side = 'g'
+  left join axes y on y.image = gt.image and y.index = d.p and y.side = 'p'
+), surplus as (
+  select count(*) as n from pred where conf >= 0.25 and (image, p) not in (select (image, p) from taken where least = 0.25)
+)
+select count_if(fn)::bigint as fn, coalesce(count_if(low_iou), 0)::bigint as low_iou, coalesce(count_if(low_conf), 0)::bigint as low_conf,
+  coalesce(count_if(angle_err), 0)::bigint as angle_err, (select n from surplus)::bigint as fp, count(*)::bigint as gt from found
+""")
 def q25_issue_summary(spark, sf):
     return matching.issue_counts(matching.issues(*_matching_input(spark, sf)))
 
@@ -493,7 +589,12 @@ def q32_quality_score(spark, sf):
     )
 
 
-@query()
+@query(f"""
+with {POLY_SQL}
+select image, index as pred_index, printf('0 0.500000 %.3f %.3f %.3f %.3f %.8f', cx, cy, w, h, angle) || ' ' ||
+  array_to_string(flatten(list_transform(poly, lambda v: [printf('%.3f', v.x), printf('%.3f', v.y)])), ' ') as line
+from boxes
+""")
 def q33_prediction_lines(spark, sf):
     pred = _boxes(spark, sf).select(
         "image", F.col("index").alias("pred_index"), F.lit(0).alias("cls"), F.lit(0.5).alias("conf"), "cx", "cy", "w", "h", "angle", "poly"
