@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 #: File name extensions of images and the layout of a dataset.
 IMAGE_EXTENSIONS = ("bmp", "jpeg", "jpg", "png", "tif", "tiff", "webp")
 DATASET = r"(?i)(images_cvat[^/\\]+_dataset)"
-ENTRY = DATASET + r"[/\\]+images[/\\]+(?:train|val)[/\\]+(.+)$"
+#: The parts of a path behind a dataset's folder, down to the image.
+SIDE, SPLITS = "images", ("train", "val")
 
 
 def _c(x) -> Column:
@@ -76,12 +77,27 @@ def resolve_list_path(c, folder: str, absolute_exists: Column, relative_exists:
     )
 
 
+def _entry(c) -> Column:
+    """struct(dataset, relative): the first folder named like a dataset with images and
+    a split behind it, and what follows; null without one."""
+    parts = F.filter(F.split(normalize_slash(c), "/"), lambda x: x != "")
+    at = lambda i: F.lower(F.get(parts, i))
+    is_entry = lambda x, i: (
+        F.regexp_like(x, F.lit(f"{DATASET}$")) & (at(i + 1) == SIDE) & at(i + 2).isin(*SPLITS) & (F.size(parts) > i + 3)
+    )
+    places = F.filter(F.transform(parts, lambda x, i: F.when(is_entry(x, i), i)), lambda i: i.isNotNull())
+    first = F.get(places, F.lit(0))
+    name = F.regexp_extract(F.get(parts, first), f"{DATASET}$", 1)
+    rest = F.array_join(F.slice(parts, first + 4, F.size(parts)), "/")
+    return F.when(first.isNotNull(), F.struct(name.alias("dataset"), rest.alias("relative")))
+
+
 def entry_dataset(c) -> Column:
-    return F.nullif(F.regexp_extract(_c(c), ENTRY, 1), F.lit(""))
+    return _entry(c)["dataset"]
 
 
 def entry_relative(c) -> Column:
-    return F.nullif(normalize_slash(F.regexp_extract(_c(c), ENTRY, 2)), F.lit(""))
+    return _entry(c)["relative"]
 
 
 def grouped_path(c, mode: str, root: str, custom_root: str | None = None) -> Column:
@@ -139,12 +155,17 @@ def prediction_stem(index, path) -> Column:
     return F.concat(F.format_string("%06d_", _c(index)), stem(path))
 
 
+def _by_value(digits: Column) -> Column:
+    """Digits behind their number, so that longer runs sort after shorter ones."""
+    return F.concat(F.lpad(F.length(digits).cast("string"), 6, "0"), digits)
+
+
 def natural_key(c) -> Column:
     """An array that sorts digit runs by value and the rest in lower case."""
     marked = F.regexp_replace(F.lower(_c(c)), "([0-9]+)", "\u0001$1\u0001")
     return F.transform(
         F.split(marked, "\u0001"),
-        lambda x, i: F.when(i % 2 == 1, F.lpad(F.regexp_replace(x, "^0+(?=.)", ""), 20, "0")).otherwise(x),
+        lambda x, i: F.when(i % 2 == 1, _by_value(F.regexp_replace(x, "^0+(?=.)", ""))).otherwise(x),
     )
 
 
@@ -203,5 +224,14 @@ def hash_keep(c, rate: float, seed) -> Column:
     return top / F.lit(float(2**64 - 1)) < rate
 
 
+def inference_size(mode: str, square: int = 960, rect: tuple[int, int] = (544, 960)) -> tuple[int, int]:
+    """(height, width) of the model's input."""
+    if mode == "square" and square > 0:
+        return square, square
+    if mode == "rect" and len(rect) == 2 and min(rect) > 0:
+        return rect
+    raise ValueError(f"no input size for mode {mode!r}")
+
+
 def size_text(height, width) -> Column:
     return F.format_string("%d × %d", _c(height), _c(width))

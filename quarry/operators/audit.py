@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.tables import Table
+
 
 def missing(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """Rows of left without a partner: images without labels, orphan labels, list
@@ -63,10 +67,68 @@ def attach_predictions(images: DataFrame, pred: DataFrame) -> DataFrame:
 
 
 def free_indices(occupied: DataFrame, column: str, first: int, count: int) -> DataFrame:
-    """The ``count`` smallest integers from first that aren't taken: among that
-    many gaps and the run behind the largest, found without listing a range."""
-    taken = occupied.select(F.col(column).cast("long").alias("k")).where(F.col("k") >= first).distinct()
-    spark = occupied.sparkSession
-    # no more than count + taken integers need looking at
-    span = spark.range(first, first + count + taken.count()).withColumnRenamed("id", "k")
-    return span.join(taken, "k", "left_anti").orderBy("k").limit(count)
+    """The ``count`` smallest integers from first that aren't taken, from the gaps
+    between taken ones: gaps are sorted by range, their sizes summed up over ranges,
+    and only the integers wanted are listed."""
+    k = F.col(column).cast("long")
+    taken = occupied.select(k.alias("k")).where(F.col("k") >= first).distinct()
+    ends = taken.unionByName(occupied.sparkSession.range(first - 1, first).toDF("k"))
+    ends = ends.repartitionByRange("k").sortWithinPartitions("k").withColumn("_part", F.spark_partition_id())
+    ends = Table(ends, "taken").df
+    # what follows the last of a range is the first of the next
+    heads = ends.groupBy("_part").agg(F.min("k").alias("head"))
+    heads = heads.withColumn("after", F.lead("head").over(Window.orderBy("_part"))).drop("head")  # one row a range
+    inside = F.lead("k").over(Window.partitionBy("_part").orderBy("k"))
+    gaps = ends.withColumn("next", inside).join(F.broadcast(heads), "_part").select(
+        "_part", "k", F.coalesce("next", "after").alias("next")
+    )
+    # behind the largest, as many as may be wanted
+    gaps = gaps.withColumn("n", F.coalesce(F.col("next") - F.col("k") - 1, F.lit(count))).where("n > 0")
+    upto = Window.partitionBy("_part").orderBy("k")
+    sums = gaps.groupBy("_part").agg(F.sum("n").alias("all"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("_part", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("before"))
+    placed = gaps.withColumn("upto", F.sum("n").over(upto)).join(F.broadcast(sums), "_part")
+    left = F.least("n", F.lit(count) - F.col("before") - F.col("upto") + F.col("n"))
+    return placed.withColumn("left", left).where("left > 0").select(
+        F.explode(F.sequence(F.col("k") + 1, F.col("k") + F.col("left"))).alias("k")
+    )
+
+
+def stem_groups(files: DataFrame) -> DataFrame:
+    """``stem, paths``: the files of each stem, in order."""
+    return files.groupBy("stem").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+
+
+def all_stems(*frames: DataFrame) -> DataFrame:
+    """Stems of any of the tables, each once."""
+    return reduce(DataFrame.unionByName, (f.select("stem") for f in frames)).distinct()
+
+
+def in_turn(*frames: DataFrame) -> DataFrame:
+    """All rows of tables one after another: ``source`` numbers the table, and with its
+    own order gives the order of all."""
+    return reduce(DataFrame.unionByName, (f.withColumn("source", F.lit(i)) for i, f in enumerate(frames)))
+
+
+def samples(df: DataFrame, order: list, n: int) -> DataFrame:
+    """The first rows in order, to show."""
+    return df.orderBy(*order).limit(n)
+
+
+def of_datasets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of the datasets named, whatever their case."""
+    names = wanted.select(F.lower("dataset").alias("_d")).distinct()
+    return rows.join(names, F.lower("dataset") == F.col("_d"), "left_semi")
+
+
+def check_arguments(alpha: float, quality: int, start: int, width: int, source: str, output: str, recursive: bool) -> None:
+    """Raise if a batch of images can't be worked on like this."""
+    same, inside = source.rstrip("/") == output.rstrip("/"), output.startswith(source.rstrip("/") + "/")
+    for wrong, why in (
+        (not 0.0 <= alpha <= 1.0, "alpha must be from 0 to 1"), (not 0 <= quality <= 100, "quality must be from 0 to 100"),
+        (start < 0, "the first index must not be negative"), (width <= 0, "names need a width above 0"),
+        (same, "input and output must differ"), (recursive and inside, "the output must not be inside of the input"),
+    ):
+        if wrong:
+            raise ValueError(why)

@@ -612,3 +612,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {name: sql for name, (_, sql) in CATALOGUE.items() if sql}
+
+
+from quarry.plans import curation  # noqa: E402,F401  registers its queries
