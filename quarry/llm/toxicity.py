@@ -26,7 +26,7 @@ EXCESS, FEATURES = 0.02, 1 + len(MARGINS)
 #: From this score on a document is predicted to be toxic.
 THRESHOLD = 0.3
 #: Characters of text, and words of one text, that are worked on together.
-BATCH, WORDS = 1 << 21, 1 << 20
+BATCH, WORDS = 1 << 20, 1 << 20
 _STEP = np.uint64(0x9FB21C651E98DF25)
 _BLANK = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
@@ -42,15 +42,15 @@ def _bigrams(before: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 def _texts(batch: pa.RecordBatch, column: int) -> Iterator[list[np.ndarray]]:
     """Word and stem hashes of the batch's texts, in order, some texts at a time."""
-    texts = batch.column(column).to_pylist()
     group: list[bytes] = []
     size = 0
-    for text in texts:
-        if group and size + len(text or "") > BATCH:
-            yield list(batch_word_hashes(group, STEM))
-            group, size = [], 0
-        group.append(plain(text))
-        size += len(text or "")
+    for at in range(0, batch.num_rows, 128):
+        for text in batch.column(column).slice(at, 128).to_pylist():
+            if group and size + len(text or "") > BATCH:
+                yield list(batch_word_hashes(group, STEM))
+                group, size = [], 0
+            group.append(plain(text))
+            size += len(text or "")
     if group:
         yield list(batch_word_hashes(group, STEM))
 
@@ -363,21 +363,22 @@ def _features(held, keep: list[str], text: int) -> Callable:
     return features
 
 
-def _score(held, weights: np.ndarray) -> Callable:
+def _score(held, weights: np.ndarray, whole: bool) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(held.value, weights)
         for batch in batches:
             scores = [model.scores(model.features(words)) for words in _texts(batch, 1)] or [np.zeros(0)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(batch.num_columns) if i != 1] + [pa.array(np.concatenate(scores))],
-                names=[*(n for i, n in enumerate(batch.schema.names) if i != 1), "score"],
+                [batch.column(i) for i in range(batch.num_columns) if whole or i != 1] + [pa.array(np.concatenate(scores))],
+                names=[*(n for i, n in enumerate(batch.schema.names) if whole or i != 1), "score"],
             )
 
     return score
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...] = (), model=None, **bounds) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` (and ``carry``) per document.
+def toxicity(docs: DataFrame, labels: DataFrame, whole: bool = False, model=None, **bounds) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` per document and, with ``whole``, ``row``:
+    all its columns as a struct.
 
     Two bigram models, of toxic and of ordinary documents, with interpolated
     Kneser-Ney smoothing, whose discounts are estimated at each level from counts
@@ -405,16 +406,21 @@ def toxicity(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...] = (), mo
     is not held out; equal texts, and rows repeated under one id, score alike;
     repeated label rows count once, toxic if any says so; without labels of both
     classes the score is a fixed prior; an empty table gives no rows; other
-    columns, whatever their names, are read only as ``carry``.
+    columns, whatever their names, are read only for ``whole``.
     """
     held, weights = model or fit(docs, labels, **bounds)
-    there, back = carried(carry)
+    others = [c for c in docs.columns if whole and c not in ("doc_id", "text")]
+    there, back = carried(others)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *there)
-    schema = rows.drop("text").schema.add("score", "double")
-    return rows.mapInArrow(_score(held, weights), schema).select(
+    kept = rows.columns if whole else [c for c in rows.columns if c != "text"]
+    schema = rows.select(*kept).schema.add("score", "double")
+    scored = rows.mapInArrow(_score(held, weights, whole), schema)
+    named = dict(zip(others, back)) | {c: F.col(c).cast(docs.schema[c].dataType) for c in ("doc_id", "text") if whole}
+    row = [F.struct(*(named[c].alias(c) for c in docs.columns)).alias("row")] if whole else []
+    return scored.select(
         "doc_id",
         F.coalesce(held_out(), F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
-        *back,
+        *row,
     )

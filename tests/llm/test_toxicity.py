@@ -24,8 +24,8 @@ def test_toxicity(spark):
     docs, labels = toxic_corpus(spark)
     docs = docs.union(documents(spark, [(1000, "", "s"), (1001, None, "s"), (1002, "idiot w1 w2 " * 200_000, "s"), (None, "scum w3", "s"), (None, "scum w3", "s")]))
     docs = docs.withColumn("score", F.lit("x")).withColumn("a.b", F.col("doc_id"))
-    got = toxicity.toxicity(docs, labels, carry=("a.b",)).join(labels, "doc_id", "left").collect()
-    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) and r["a.b"] == r.doc_id for r in got) and len(got) == 405
+    got = toxicity.toxicity(docs, labels, whole=True).join(labels, "doc_id", "left").collect()
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) and r["row"]["a.b"] == r.doc_id and r["row"]["score"] == "x" for r in got) and len(got) == 405
     held = [r for r in got if r.held_out and r.toxic is not None]
     assert 60 < len(held) < 140 and sum(r.predicted == r.toxic for r in held) / len(held) > 0.95
     by = defaultdict(list)
