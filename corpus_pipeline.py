@@ -15,9 +15,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts have no evidence and stay; rows alike go or stay
     together; without labels of both classes nothing goes; an empty table stays
     empty.  Columns of any name travel as one struct, here and in each stage."""
-    labels = read(spark, sf_dir, "labels")
-    scored = toxicity.toxicity(docs.select("doc_id", "text", as_row(docs)), labels, carry=("_row",), model=toxicity.fit(docs, labels))
-    return scored.where("predicted = 0").select("_row.*")
+    scored = toxicity.toxicity(docs, read(spark, sf_dir, "labels"), whole=True)
+    return scored.where("predicted = 0").select("row.*")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
