@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import ctypes
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,29 @@ def carried(names: Iterable[str]) -> tuple[list[Column], list[Column]]:
     return there, [F.col(f"_carry{i}").alias(c) for i, c in enumerate(names)]
 
 
+def give_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; behind each, what has been freed goes back to the system, since a
+    Python worker outlives its task and shares its executor's memory with others."""
+    try:
+        trim = ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # another C library
+        trim = None
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+        if trim:
+            trim(0)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold 8 MB at most, unless the session says otherwise: a task
+    holds a few of them outside of the heap, and texts fill them by the thousand."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) == "67108864b":  # as it comes
+        spark.conf.set(key, str(8 << 20))
+
+
 def as_row(df: DataFrame, name: str = "_row") -> Column:
     """All columns as one struct, which no name of an operator can clash with."""
     return F.struct(*quoted(df.columns)).alias(name)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.base import Table
+from quarry.llm.base import Table, small_batches
 from quarry.llm.shingles import batch_word_hashes, mixed, normal
 
 #: Buckets of hashed words and word pairs; the models have one count for each.
@@ -130,6 +130,7 @@ def resample(
     rows; other columns, whatever their names, are not read.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     wanted = target.select(F.col("text").cast("string").alias("text"))
     ratio = _model(wanted, buckets) - _model(rows.select("text"), buckets)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.base import Table
+from quarry.llm.base import Table, give_back, small_batches
 from quarry.operators.components import components
 from quarry.llm.shingles import batch_word_hashes, normal, shingle_hashes, shingle_set
 
@@ -26,6 +26,11 @@ SALT = 64
 #: ell is 1 + size // ELL[i], the first whose prefix costs less than COSTLY
 #: estimated candidates, or else 1.
 ELL, COSTLY = (32, 128), 64
+#: Texts of one component, and their bytes, that are compared with each other at a
+#: time; a larger component is compared block by block.
+BLOCK, BLOCK_BYTES = 512, 1 << 22
+#: Shingles whose columns are multiplied at a time.
+COLUMNS = 4096
 
 
 def unmatched(n: int, num: int, den: int) -> int:
@@ -87,7 +92,7 @@ def _describe(k: int) -> Callable:
         if chunk:
             yield frequent()
 
-    return describe
+    return lambda batches: give_back(describe(batches))
 
 
 def _post(k: int, num: int, den: int, frequent) -> Callable:
@@ -137,7 +142,7 @@ def _post(k: int, num: int, den: int, frequent) -> Callable:
                     ["token", "id", "size", "ell", "pos", "often"],
                 )
 
-    return post
+    return lambda batches: give_back(post(batches))
 
 
 POSTING = "token long, id long, size int, ell int, pos int, often boolean"
@@ -185,7 +190,7 @@ def _verified(k: int, num: int, den: int) -> Callable:
                 pa.array(keep, pa.bool_())
             )
 
-    return verified
+    return lambda batches: give_back(verified(batches))
 
 
 def _normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,6 +201,79 @@ def _normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def links_between(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
+    """Which of these sorted sets of hashes link with which: products of 0/1 columns,
+    some shingles at a time."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    flat = np.concatenate(sets)
+    shingles, column, times = np.unique(flat, return_inverse=True, return_counts=True)
+    often = np.flatnonzero(times > 1)  # others are common to no two
+    place = np.full(len(shingles), -1, np.int64)
+    place[often] = np.arange(len(often))
+    row, column = np.repeat(np.arange(len(sets)), sizes), place[column]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(sets), len(sets)), np.int64)
+    cuts = np.searchsorted(column, np.arange(0, len(often) + COLUMNS, COLUMNS))
+    for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        part = np.zeros((len(sets), COLUMNS), np.float32)
+        part[row[a:b], column[a:b] - i * COLUMNS] = 1
+        common += (part @ part.T).astype(np.int64)
+    whole = sizes[:, None] + sizes - common
+    linked = (den * common >= num * whole) & (whole > 0)
+    np.fill_diagonal(linked, False)
+    return linked
+
+
+def _degrees(k: int, num: int, den: int) -> Callable:
+    """Rows (id, n) of sorted rows (component, p, q, block, id, weight, body): how many
+    documents of the other block (of the same, where p is q) each one links with."""
+
+    def count(rows: list[tuple]) -> pa.RecordBatch:
+        _, p, q, *_ = rows[0]
+        sets = [np.unique(shingle_hashes(w, k)) for w in batch_word_hashes([r[6] for r in rows])]
+        linked = links_between(sets, num, den)
+        if p != q:
+            block = np.array([r[3] for r in rows])
+            linked &= block[:, None] != block
+        n = linked @ np.array([r[5] for r in rows], np.int64)
+        return pa.record_batch([pa.array([r[4] for r in rows], pa.int64()), pa.array(n)], ["id", "n"])
+
+    def degrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and held[0][:3] != row[:3]:
+                    yield count(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield count(held)
+
+    return lambda batches: give_back(degrees(batches))
+
+
+def count_degrees(members: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """``id, n`` from ``id, component, weight, body``: how many documents of other
+    classes each class links with.  All links lie inside of components, and there
+    every two classes are compared, block by block: what comes out is a number per
+    class and block, never a pair.  The blocks of a large component are many tasks."""
+    sizes = members.groupBy("component").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.octet_length("body")) / BLOCK_BYTES)).cast("int").alias("blocks"),
+        F.count("*").alias("m"),
+    )
+    sizes = Table(sizes.where("m > 1").drop("m"), "component-sizes").df
+    placed = members.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int"))
+    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "component", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "id", "weight", "body"
+    )
+    keys = ["component", "p", "q"]
+    return (
+        pairs.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_degrees(k, num, den), "id long, n long")
+        .groupBy("id").agg(F.sum("n").alias("n"))
+    )
+
+
 def _check(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> Table:
     """The pairs (a, b) that do link, by their shingles themselves."""
     left = texts.select(F.col("id").alias("a"), F.col("body").alias("x"))
@@ -239,8 +317,8 @@ def near_duplicates(
     but lie in different components are verified too, each list against its
     largest component.  So a large group of
     near copies costs about its size, and no link between components is lost.
-    Only ``count_links`` verifies all candidate pairs of classes, inside components
-    too; its work grows with the number of links.
+    ``count_links`` then compares all classes inside of each component, where all
+    links lie, by blocks that give numbers and no pairs (``count_degrees``).
 
     Lists live in sorted shuffles and are read as streams; frequent shingles are
     spread over tasks; texts meet the ids of candidates in a shuffle, and
@@ -248,9 +326,13 @@ def near_duplicates(
 
     Defined cases: a null or empty text has no shingles and links with nothing;
     null ids link with nothing and have a null component; rows repeated under
-    one id are one document; an empty table gives no rows.
+    one id and text are one document; one id with different texts links by any of
+    them; equal texts are one class, named by its smallest id; very long texts are
+    hashed in pieces cut between words and compared whole; an empty table gives no
+    rows; other columns, whatever their names, are not read.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     described = Table(rows.mapInArrow(_describe(k), "id long, size long, d1 long, d2 long"), "described").df
     info = described.where("d1 is not null")
@@ -305,8 +387,9 @@ def near_duplicates(
         f"{x}pos <= {x}size - {least_common} + least(ell, a_ell)" for x in ("", "a_")
     )
 
-    def by_centres() -> DataFrame:
-        """Components, from as few verified pairs as that takes."""
+    def by_centres() -> tuple[DataFrame, DataFrame]:
+        """Components, from as few verified pairs as that takes, and the texts of all
+        that were tried, so of all that link."""
         # pairs with the centre of each list
         centres = (
             live.groupBy("token").agg(F.max(F.struct("score", (-F.col("id")).alias("minus"), "size", "ell")).alias("c"), F.count("*").alias("n"))
@@ -319,7 +402,8 @@ def near_duplicates(
             .where("shared >= need"),
             "stars",
         ).df
-        near = _check(stars, texts_of(stars), k, num, den).df
+        texts = texts_of(stars)
+        near = _check(stars, texts, k, num, den).df
         first = Table(components(near), "components").df
 
         # what still lies in different components
@@ -350,29 +434,14 @@ def near_duplicates(
         crossed = Table(cross.select("a", "b"), "cross").df
         linked = first
         if not crossed.isEmpty():
-            more = _check(crossed, texts_of(crossed), k, num, den).df
+            others = texts_of(crossed)
+            more = _check(crossed, others, k, num, den).df
             if not more.isEmpty():
                 linked = Table(components(near.union(more)), "components").df
-        return linked
-
-    def all_links() -> DataFrame:
-        """All pairs of classes that link."""
-        one = live.select("token", *(F.col(c).alias(f"a_{c}") for c in ("id", "size", "ell", "pos")))
-        pairs = (
-            one.join(live, "token").where("a_id < id").where(fits("size", "a_size")).where(near_front)
-            .groupBy(F.col("a_id").alias("a"), F.col("id").alias("b"))
-            .agg(F.count("*").alias("shared"), F.min(F.least("ell", "a_ell")).alias("need"))
-            .where("shared >= need")
-        )
-        pairs = Table(pairs.select("a", "b"), "pairs").df
-        return _check(pairs, texts_of(pairs), k, num, den).df
-
-    if count_links:
-        links = all_links()
-        linked = Table(components(links), "components").df
-    else:
-        linked = by_centres()
+                texts = texts.unionByName(others.join(texts.select("id"), "id", "left_anti"))
+        return linked, texts
 
+    linked, texts = by_centres()
     member = F.coalesce("class_id", "doc_id")
     found = (
         info.select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), "d1", "d2")
@@ -390,8 +459,8 @@ def near_duplicates(
         .groupBy("class_id").agg(F.max("n").alias("n")),
         "class-sizes",
     ).df
-    ends = links.union(links.select("b", "a")).toDF("class_id", "other")
-    others = ends.join(sizes.select(F.col("class_id").alias("other"), "n"), "other").groupBy("class_id").agg(F.sum("n").alias("m"))
+    members = texts.join(linked, "id").join(sizes.withColumnsRenamed({"class_id": "id", "n": "weight"}), "id")
+    others = count_degrees(members.select("id", "component", "weight", "body"), k, num, den).toDF("class_id", "m")
     counts = sizes.join(others, "class_id", "left").select(
         F.col("class_id").alias("_class"), (F.col("n") - 1 + F.coalesce("m", F.lit(0))).alias("_links")
     )
@@ -430,5 +499,9 @@ c as (
     select reach.doc_id, u.b from reach join u on reach.other = u.a
   ) select doc_id, min(other) as component_id from reach group by doc_id
 )
-select n.doc_id, n.n_shingles, c.component_id from n join c using (doc_id)
+select n.doc_id, n.n_shingles, c.component_id, coalesce(k.class_id, n.doc_id) as class_id, coalesce(d.n_links, 0)::bigint as n_links
+from n join c using (doc_id)
+left join (select doc_id, min(doc_id) over (partition by words) as class_id from (
+  select doc_id, array_to_string(words, ' ') as words from w where len(words) > 0)) k using (doc_id)
+left join (select a as doc_id, count(*) as n_links from u group by a) d using (doc_id)
 """

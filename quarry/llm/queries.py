@@ -39,14 +39,8 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.near_duplicates(read(spark, sf_dir, "documents")).select(
-        "doc_id", "n_shingles", "component_id"
-    )
-
-
-def op8_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"), count_links=True).select(
-        "doc_id", "class_id", "n_links", "component_id"
+        "doc_id", "n_shingles", "component_id", "class_id", "n_links"
     )
 
 
@@ -90,7 +84,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_sentencepiece": op6_sentencepiece,
         "op7_warc": op7_warc,
         "op8_jaccard_join": op8_jaccard_join,
-        "op8_jaccard_links": op8_jaccard_links,
         "op9_toxicity": op9_toxicity,
         "op10_chat": op10_chat,
     }

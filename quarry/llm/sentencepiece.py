@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from quarry.llm.base import carried
+from quarry.llm.base import carried, give_back, small_batches
 from quarry.llm.shingles import Places, mixed
 
 #: A public BPE model with byte fallback; read on the driver only.
@@ -453,8 +453,9 @@ def _encode(model, dropout: float, seed: int) -> Callable:
                 texts = [t or "" for t in own.column(1).to_pylist()]
                 keys = [document_key(i, c, seed) for i, c in zip(own.column(0).to_pylist(), own.column(2).to_pylist())]
                 yield _encoded(own, texts, store.texts(texts, keys), model.value)
+        store.clear()
 
-    return encode
+    return lambda batches: give_back(encode(batches))
 
 
 def _encoded(own: pa.RecordBatch, texts: list[str], ids: list[np.ndarray], model: dict) -> pa.RecordBatch:
@@ -508,6 +509,7 @@ def encode(
     agenda of its own, in steps that grow with its length; an empty table gives
     no rows; other columns, whatever their names, are read only as ``carry``.
     """
+    small_batches(docs.sparkSession)
     tables = docs.sparkSession.sparkContext.broadcast(load(model_path))
     number = F.col(f"`{copy}`").cast("long") if copy else F.lit(0).cast("long")
     there, back = carried(carry)

@@ -137,15 +137,15 @@ class Places:
 
     def __init__(self, keys: np.ndarray):
         self.keys = keys
-        self.bits = np.uint64(64 - max(1, min(int(len(keys)).bit_length(), 24)))
+        self.bits = np.uint64(64 - max(1, min(int(len(keys)).bit_length() - 1, 24)))
         edges = np.arange(1 << int(np.uint64(64) - self.bits), dtype=np.uint64) << self.bits
-        self.starts = np.append(np.searchsorted(keys, edges), len(keys)).astype(np.int64)
+        self.starts = np.append(np.searchsorted(keys, edges), len(keys)).astype(np.int32)
 
     def find(self, wanted: np.ndarray) -> np.ndarray:
         """Places of wanted; the number of keys for what isn't there."""
         out = np.full(len(wanted), len(self.keys), np.int64)
         lead = (wanted >> self.bits).astype(np.int64)
-        at, end = self.starts[lead], self.starts[lead + 1]
+        at, end = self.starts[lead].astype(np.int64), self.starts[lead + 1]
         open_ = np.flatnonzero(at < end)
         while len(open_):
             here = at[open_]

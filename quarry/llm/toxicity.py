@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.base import carried
+from quarry.llm.base import carried, give_back, small_batches
 from quarry.llm.shingles import Places, batch_word_hashes, mixed
 
 #: Labelled documents per class that the models count, labelled documents of any
@@ -26,7 +26,7 @@ EXCESS, FEATURES = 0.02, 1 + len(MARGINS)
 #: From this score on a document is predicted to be toxic.
 THRESHOLD = 0.3
 #: Characters of text, and words of one text, that are worked on together.
-BATCH, WORDS = 1 << 20, 1 << 20
+BATCH, WORDS = 1 << 19, 1 << 20
 _STEP = np.uint64(0x9FB21C651E98DF25)
 _BLANK = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
@@ -229,7 +229,7 @@ def _frequencies(known) -> Callable:
         hit = np.flatnonzero(total)
         yield pa.record_batch([pa.array(hit), pa.array(total[hit])], ["place", "n"])
 
-    return frequencies
+    return lambda batches: give_back(frequencies(batches))
 
 
 def tables_of(t: dict[str, np.ndarray], frequencies: Callable) -> dict:
@@ -294,6 +294,7 @@ def fit(docs: DataFrame, labels: DataFrame, counted: int = COUNTED, calibrated:
     Spark sums the counts of the labelled sample, whose size the parameters bound,
     and in how many texts of all documents its words and stems stand."""
     spark = docs.sparkSession
+    small_batches(spark)
     sample, other = labelled(docs, labels, counted, calibrated, most_chars)
     seen = [F.max((F.col("toxic") == c).cast("int")).alias(f"n{c}") for c in (0, 1)]
     sums = [F.sum(f"n{c}").cast("int").alias(f"n{c}") for c in (0, 1)]
@@ -373,7 +374,7 @@ def _score(held, weights: np.ndarray, whole: bool) -> Callable:
                 names=[*(n for i, n in enumerate(batch.schema.names) if whole or i != 1), "score"],
             )
 
-    return score
+    return lambda batches: give_back(score(batches))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, whole: bool = False, model=None, **bounds) -> DataFrame:
@@ -408,6 +409,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, whole: bool = False, model=None
     classes the score is a fixed prior; an empty table gives no rows; other
     columns, whatever their names, are read only for ``whole``.
     """
+    small_batches(docs.sparkSession)
     held, weights = model or fit(docs, labels, **bounds)
     others = [c for c in docs.columns if whole and c not in ("doc_id", "text")]
     there, back = carried(others)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.base import Table, scratch_path
+from quarry.llm.base import Table, scratch_path, small_batches
 
 #: Payloads under this size are never revisits.
 MIN_PAYLOAD = 100
@@ -320,6 +320,7 @@ def archive_pages(pages: DataFrame, path: str | None = None, min_payload: int =
     times are in order of id; an empty table gives no rows; other columns, whatever
     their names, are not read.
     """
+    small_batches(pages.sparkSession)
     path = path or scratch_path(pages.sparkSession, "warc")
     write_archives(records(pages, min_payload), path)
     return capture_index(read_archives(pages.sparkSession, path))

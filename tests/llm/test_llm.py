@@ -196,8 +196,11 @@ def test_nulls_and_clashing_names(spark):
     assert mixing.mix(docs).columns == docs.columns
 
 
-def test_jaccard_links_inside_components(spark, corpus):
-    """Every link counts, also between near copies of one text."""
+@pytest.mark.parametrize("block", [512, 9])
+def test_jaccard_links_inside_components(spark, corpus, monkeypatch, block):
+    """Every link counts, also between near copies of one text, in one block or many."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "COLUMNS", 4 * block)
     draw = random.Random(21)
     base = [draw.choice(WORDS) for _ in range(90)]
     rows = [(i, t) for i, t, _ in corpus]
@@ -207,6 +210,8 @@ def test_jaccard_links_inside_components(spark, corpus):
             words[draw.randrange(90)] = draw.choice(WORDS)
         rows.append((3000 + i, " ".join(words)))
     docs = documents(spark, [(i, t, "s") for i, t in rows])
+    for n in ("body", "component", "id", "a.b", "n_links", "class_id", "token"):
+        docs = docs.withColumn(n, F.lit("x"))
     got = {r.doc_id: r for r in jaccard_join.near_duplicates(docs, count_links=True).collect()}
     sets = {i: shingle_set(normal(t), 5) for i, t in rows}
     links = {i: 0 for i in sets}
@@ -215,3 +220,7 @@ def test_jaccard_links_inside_components(spark, corpus):
             links[a] += bool(a != b and x and y and 100 * len(x & y) >= 80 * len(x | y))
     assert {i: r.n_links for i, r in got.items()} == links and max(links.values()) > 10
     assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == brute_links(rows)
+    first = {}
+    for i, t in sorted(rows):
+        first.setdefault(normal(t), i)
+    assert {i: r.class_id for i, r in got.items()} == {i: first[normal(t)] if normal(t) else i for i, t in rows}
