@@ -3,6 +3,7 @@
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -13,6 +14,7 @@ HEADLINE = (
     "q03_count_class_dist", "q06_obb_features", "q07_pair_overlap", "q09_confidence_profile",
     "q10_triage_score", "q12_simhash_pairs", "q14_dup_components", "q16_stratified_split", "q17_split_leakage",
     "q20_frame_stride", "q21_time_spaced", "q22_log_pattern_counts", "q32_quality_score",
+    "q08_rotated_iou", "q24_greedy_match", "q25_issue_summary", "q47_detection_profile", "q61_image_statistics",
 )
 
 
@@ -23,6 +25,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "12g")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small but heavy partitions
+        .config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='quarry-bench-')}")
         .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )

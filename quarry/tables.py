@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,17 +11,9 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``.
-
-    Only where that is unset is one chosen: the temp folder of a local master
-    (driver and executors are one process there), else the warehouse.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if spark.sparkContext.master.startswith("local["):
-            root = "file://" + os.path.join(tempfile.gettempdir(), "quarry-scratch")
-        else:
-            root = spark.conf.get("spark.sql.warehouse.dir")
+    """The folder all executors share: ``spark.checkpoint.dir``, or the warehouse
+    where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return root.rstrip("/")
 
 
