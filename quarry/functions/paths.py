@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 #: File name extensions of images and the layout of a dataset.
 IMAGE_EXTENSIONS = ("bmp", "jpeg", "jpg", "png", "tif", "tiff", "webp")
 DATASET = r"(?i)(images_cvat[^/\\]+_dataset)"
+CALIBRATION_EXTENSIONS = (*IMAGE_EXTENSIONS, "ppm")
 #: The parts of a path behind a dataset's folder, down to the image.
 SIDE, SPLITS = "images", ("train", "val")
 

@@ -166,3 +166,71 @@ def _measure() -> Callable:
 def metrics(images: DataFrame) -> DataFrame:
     """Pixel metrics of decoded images; null for the unreadable."""
     return images.select("path", "height", "width", "channels", "data").mapInArrow(_measure(), METRICS)
+
+
+IMAGE = "path string, height int, width int, channels int, data binary, error string"
+
+
+def _each(change: Callable) -> Callable:
+    """``change`` of each readable image's pixels; what fails keeps its row and says why."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for path, h, w, channels, data in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if not h:
+                    rows.append((path, None, None, None, None, "unreadable"))
+                    continue
+                try:
+                    img = np.ascontiguousarray(change(np.frombuffer(data, np.uint8).reshape(h, w, channels)))
+                    rows.append((path, *img.shape, img.tobytes(), None))
+                except ValueError as problem:
+                    rows.append((path, h, w, channels, None, str(problem)))
+            kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.string()]
+            names = [x.split()[0] for x in IMAGE.split(", ")]
+            yield pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
+
+    return run
+
+
+def turned(images: DataFrame) -> DataFrame:
+    """Decoded images, portrait ones turned by 90 degrees: ``path, height, width,
+    channels, data, error``."""
+    return images.select("path", "height", "width", "channels", "data").mapInArrow(_each(rotate_upright), IMAGE)
+
+
+def corrected(images: DataFrame, calibration: dict, other_sizes: bool = False) -> DataFrame:
+    """Decoded images without their lens's distortion: ``path, height, width, channels,
+    data, error``.  The calibration (``readers.calibration``) holds for its own size
+    and, with ``other_sizes``, for others of the same shape; the rest fail."""
+    matrix = np.array(calibration["camera_matrix"], float).reshape(3, 3)
+    coefficients = np.array(calibration["distortion_coefficients"], float)
+    size = calibration["image_height"], calibration["image_width"]
+    maps: dict[tuple, tuple] = {}
+
+    def change(img: np.ndarray) -> np.ndarray:
+        h, w = img.shape[:2]
+        if (h, w) not in maps:
+            sy, sx = h / size[0], w / size[1]
+            if (h, w) != size and not (other_sizes and abs(sx - sy) <= 1e-6):
+                raise ValueError(f"calibrated for {size[1]} x {size[0]}, not {w} x {h}")
+            maps[h, w] = undistort_map(np.diag([sx, sy, 1.0]) @ matrix, coefficients, h, w)
+        return np.clip(np.rint(remap(img, *maps[h, w])), 0, 255).astype(np.uint8)
+
+    return images.select("path", "height", "width", "channels", "data").mapInArrow(_each(change), IMAGE)
+
+
+def with_rectangle_angle(boxes: DataFrame, polygon: str, name: str = "angle_deg") -> DataFrame:
+    """The angle of the smallest rectangle around each polygon, whatever its shape."""
+    rest = [c for c in boxes.columns if c != polygon]
+
+    def angles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                rectangle_angle(np.array([(c["x"], c["y"]) for c in corners])) if corners else None
+                for corners in batch.column(0).to_pylist()
+            ]
+            yield pa.record_batch([*batch.columns[1:], pa.array(found, pa.float64())], [*rest, name])
+
+    schema = boxes.select(*rest).schema.add(name, "double")
+    return boxes.select(polygon, *rest).mapInArrow(angles, schema)

@@ -8,10 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions import geometry, paths
+from quarry.functions import geometry, paths, pixels
 from quarry.operators import audit, dedup, matching, splits, stats, triage
 from quarry.plans import triage as plans
-from quarry.plans.catalogue import MATCH_SQL, POLY_SQL, _boxes, _common_area_sql, _matching_input, _triage_input, _triage_sql, query, table
+from quarry.plans.catalogue import BOX_SQL, MATCH_SQL, POLY_SQL, _boxes, _common_area_sql, _matching_input, _triage_input, _triage_sql, query, table
 from quarry.sources import readers, reports, sinks
 from quarry.tables import scratch_path
 
@@ -693,3 +693,44 @@ select image, count_if(list_contains(tags, 'FN'))::bigint as fn, count_if(list_c
 """)
 def q81_issues_per_image(spark, sf):
     return matching.issue_counts(_issues(spark, sf), ["image"])
+
+
+@query(f"""
+with {BOX_SQL}
+select image, index, round(degrees(angle) + case when w < h then 90 else 0 end, 4) as angle from b
+""")
+def q82_rectangle_angles(spark, sf):
+    rows = pixels.with_rectangle_angle(_boxes(spark, sf).select("image", "index", "poly"), "poly", "angle")
+    return rows.withColumn("angle", F.round("angle", 4))
+
+
+@query("""
+select c_custkey, row_number() over (partition by c_nationkey order by c_custkey)::int as line_no from customer where c_custkey % 3 <> 0
+""")
+def q83_existing_rows(spark, sf):
+    """Rows of lists whose image is there, numbered anew."""
+    rows = table(spark, sf, "customer").select("c_custkey", "c_nationkey", _text(KEY, ".jpg").alias("normalized"))
+    images = table(spark, sf, "customer").where(KEY % 3 != 0).select(_text(KEY, ".jpg").alias("path"))
+    return stats.numbered(readers.existing_rows(rows, images), ["c_nationkey"], ["c_custkey"], "line_no").select("c_custkey", "line_no")
+
+
+VECTOR_SQL = """s as (select vec_id, embedding[1:8]::double[] as v, vec_id % 40 as h from embeddings),
+near as (select x.vec_id as a, y.vec_id as b from s x join s y on x.vec_id < y.vec_id where bit_count(xor(x.h::bigint, y.h::bigint)) <= 5),
+c as (
+  select a, b, corr(u, w) as c from (
+    select a, b, unnest(x.v) as u, unnest(y.v) as w from near join s x on x.vec_id = a join s y on y.vec_id = b) group by a, b
+)"""
+
+
+@query(f"""
+with recursive {VECTOR_SQL}, l as (select a, b from c where c >= 0.8 union all select b, a from c where c >= 0.8),
+r(id, other) as (select a, a from l union select id, b from r join l on other = a)
+select id as vec_id, min(other) as component from r group by id
+""")
+def q84_similar_groups(spark, sf):
+    """Near hashes, verified by correlation, in groups: the whole chain."""
+    rows = table(spark, sf, "embeddings").select(
+        "vec_id", F.slice("embedding", 1, 8).cast("array<double>").alias("v"), (F.col("vec_id") % 40).cast("long").alias("h")
+    )
+    pairs = dedup.similar_pairs(rows, "vec_id", "h", "v", least=0.8)
+    return dedup.groups(rows.select("vec_id"), pairs.select("a", "b"), "vec_id")

@@ -28,11 +28,14 @@ def inventory(
     recursive: bool = True,
     missing: str = "empty",
     limit: int | None = None,
+    order: str | None = None,
 ) -> DataFrame:
     """``path, length, mtime, name, stem, ext`` of the files below root, contents unread.
 
-    A missing root gives no rows, or an error with ``missing="error"``; ``limit``
-    takes the first files in order, before anything is decoded."""
+    A missing root gives no rows, or an error with ``missing="error"``, which wants
+    at least one file, too; ``order`` is "path" (whatever its case), "natural" (digit
+    runs by value) or "numeric" (numeric names first); ``limit`` takes the first files
+    in order, before anything is decoded."""
     if not exists(spark, root):
         if missing == "error":
             raise FileNotFoundError(root)
@@ -44,7 +47,12 @@ def inventory(
         .withColumn("stem", paths.stem("path")).withColumn("ext", paths.extension("path"))
         .where(F.col("ext").isin(*extensions))
     )
-    return files.orderBy(F.lower("path"), "path").limit(limit) if limit else files
+    if missing == "error" and files.isEmpty():
+        raise FileNotFoundError(f"no image in {root}")
+    keys = {
+        "path": [F.lower("path"), "path"], "natural": [paths.natural_key("name"), "path"], "numeric": [paths.numeric_key("name"), "path"],
+    }[order or "path"]
+    return files.orderBy(*keys).limit(limit) if limit else files.orderBy(*keys) if order else files
 
 
 def datasets(images: DataFrame) -> DataFrame:
@@ -56,6 +64,15 @@ def datasets(images: DataFrame) -> DataFrame:
     )
 
 
+def existing_rows(rows: DataFrame, images: DataFrame) -> DataFrame:
+    """List rows whose image is there; an error if there is none at all."""
+    known = images.select(F.col("path").alias("normalized")).distinct()
+    kept = rows.join(known, "normalized", "left_semi")
+    if kept.isEmpty():
+        raise FileNotFoundError("no image of the list is there")
+    return kept
+
+
 def list_rows(spark: SparkSession, path: str, missing: str = "empty") -> DataFrame:
     """``file, line_no, original, normalized`` of the non-blank lines of list files."""
     if not exists(spark, path):
