@@ -5,7 +5,7 @@ a dataset, an order an image with the boxes of its line items."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import geometry, paths, pixels
@@ -16,11 +16,20 @@ from quarry.sources import readers, reports, sinks
 from quarry.tables import scratch_path
 
 
-def _text(*parts) -> F.Column:
+def _text(*parts) -> Column:
     return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
 
 
-KEY, NATION, SEGMENT = F.col("c_custkey"), F.col("c_nationkey"), F.col("c_mktsegment")
+def custkey() -> Column:
+    return F.col("c_custkey")
+
+
+def nationkey() -> Column:
+    return F.col("c_nationkey")
+
+
+def mktsegment() -> Column:
+    return F.col("c_mktsegment")
 
 
 @query(r"""
@@ -29,11 +38,11 @@ select 'list' || c_nationkey as file, (2 * row_number() over (partition by c_nat
 """)
 def q34_list_lines(spark, sf):
     """List files with quotes, backslashes, blank lines, CR LF and a byte order mark."""
-    line = _text(' "D:\\', SEGMENT, "\\images\\", KEY, '.jpg"\t')
+    line = _text(' "D:\\', mktsegment(), "\\images\\", custkey(), '.jpg"\t')
     files = table(spark, sf, "customer").groupBy("c_nationkey").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("c_custkey", line.alias("line")))), lambda x: x["line"]), "\r\n \r\n").alias("v")
     )
-    rows = readers.parse_lines(files.select(_text("list", NATION).alias("file"), F.concat(F.lit("\ufeff"), "v").alias("value")))
+    rows = readers.parse_lines(files.select(_text("list", nationkey()).alias("file"), F.concat(F.lit("\ufeff"), "v").alias("value")))
     return rows.select("file", "line_no", "normalized")
 
 
@@ -80,11 +89,11 @@ select c_custkey, ['bmp', 'jpeg', 'jpg', 'png', 'tif', 'tiff', 'webp'][c_custkey
 """)
 def q37_images_of_labels(spark, sf):
     """All paths a label's image may have, and the one that there is."""
-    root = F.concat(F.lit("/d/Labels/x/labels/train/"), KEY.cast("string"))
+    root = F.concat(F.lit("/d/Labels/x/labels/train/"), custkey().cast("string"))
     rows = table(spark, sf, "customer").select("c_custkey", F.concat(root, F.lit(".txt")).alias("label"))
-    ext = F.get(F.array(*map(F.lit, paths.IMAGE_EXTENSIONS)), (KEY % 7).cast("int"))
-    image = F.concat(F.lit("/d/Labels/x/images/train/"), KEY.cast("string"), F.lit("."), ext)
-    images = table(spark, sf, "customer").where(KEY % 5 != 0).select(image.alias("path"))
+    ext = F.get(F.array(*map(F.lit, paths.IMAGE_EXTENSIONS)), (custkey() % 7).cast("int"))
+    image = F.concat(F.lit("/d/Labels/x/images/train/"), custkey().cast("string"), F.lit("."), ext)
+    images = table(spark, sf, "customer").where(custkey() % 5 != 0).select(image.alias("path"))
     candidates = rows.select("c_custkey", F.explode(paths.label_to_images("label")).alias("path"))
     return audit.present(candidates, images, ["path"]).select("c_custkey", paths.extension("path").alias("ext"))
 
@@ -92,10 +101,10 @@ def q37_images_of_labels(spark, sf):
 @query("select c_custkey from customer where c_custkey % 5 = 0")
 def q38_orphan_labels(spark, sf):
     """Labels none of whose possible images is there."""
-    label = F.concat(F.lit("/d/labels/train/"), KEY.cast("string"), F.lit(".txt"))
+    label = F.concat(F.lit("/d/labels/train/"), custkey().cast("string"), F.lit(".txt"))
     rows = table(spark, sf, "customer").select("c_custkey", label.alias("label"))
-    image = F.concat(F.lit("/d/images/train/"), KEY.cast("string"), F.lit(".png"))
-    images = table(spark, sf, "customer").where(KEY % 5 != 0).select(image.alias("path"))
+    image = F.concat(F.lit("/d/images/train/"), custkey().cast("string"), F.lit(".png"))
+    images = table(spark, sf, "customer").where(custkey() % 5 != 0).select(image.alias("path"))
     candidates = rows.select("c_custkey", F.explode(paths.label_to_images("label")).alias("path"))
     there = audit.present(candidates, images, ["path"])
     return audit.missing(rows, there, ["c_custkey"]).select("c_custkey")
@@ -108,10 +117,10 @@ select c_custkey, case m when 0 then path when 1 then '/set/' || path when 2 the
   when 3 then '/set/images/val/' || c_custkey || '.jpg' when 4 then '/set/images/train/' || c_custkey else '/set/' || path end as resolved from p
 """)
 def q39_resolved_paths(spark, sf):
-    kind = KEY % 6
+    kind = custkey() % 6
     path = (
-        F.when(kind == 2, _text("X:/a/Images/Train/", KEY, ".jpg")).when(kind == 3, _text("/b/images/val/", KEY, ".jpg"))
-        .when(kind == 4, _text("/c/images/val/images/train/", KEY)).otherwise(_text(KEY, ".jpg"))
+        F.when(kind == 2, _text("X:/a/Images/Train/", custkey(), ".jpg")).when(kind == 3, _text("/b/images/val/", custkey(), ".jpg"))
+        .when(kind == 4, _text("/c/images/val/images/train/", custkey())).otherwise(_text(custkey(), ".jpg"))
     )
     rows = table(spark, sf, "customer").select("c_custkey", path.alias("path"))
     return rows.select("c_custkey", paths.resolve_list_path("path", "/set", kind == 0, kind == 1).alias("resolved"))
@@ -124,8 +133,8 @@ select k, '/r/n' || n || '/' || rel as absolute, rel as relative, '/other/' || r
   printf('%06d_', k) || 'img.' || k as prediction, 'r' as source from p
 """)
 def q40_made_paths(spark, sf):
-    rel = _text(SEGMENT, "/img.", KEY, ".jpg")
-    rows = table(spark, sf, "customer").select(KEY.alias("k"), _text("n", NATION).alias("set"), rel.alias("rel"))
+    rel = _text(mktsegment(), "/img.", custkey(), ".jpg")
+    rows = table(spark, sf, "customer").select(custkey().alias("k"), _text("n", nationkey()).alias("set"), rel.alias("rel"))
     rows = rows.withColumn("path", F.concat(F.lit("/r/"), "set", F.lit("/"), "rel"))
     rows = rows.withColumn("own", F.concat(F.lit("/r/"), "rel")).withColumn("choice", F.when(F.col("k") % 2 == 0, "KEEP").otherwise("DROP"))
     return rows.select(
@@ -155,7 +164,7 @@ select c_custkey, row_number() over (partition by c_nationkey order by c_custkey
   case c_custkey % 3 when 0 then c_custkey % 1000 when 1 then c_custkey end, lower(name), c_custkey)::int as no from n
 """)
 def q42_numeric_order(spark, sf):
-    name = F.when(KEY % 3 == 0, _text(KEY % 1000, ".jpg")).when(KEY % 3 == 1, _text("00", KEY, ".JPG")).otherwise(_text("B_", KEY, ".jpg"))
+    name = F.when(custkey() % 3 == 0, _text(custkey() % 1000, ".jpg")).when(custkey() % 3 == 1, _text("00", custkey(), ".JPG")).otherwise(_text("B_", custkey(), ".jpg"))
     rows = table(spark, sf, "customer").select("c_custkey", "c_nationkey", paths.numeric_key(name).alias("key"))
     return stats.numbered(rows, ["c_nationkey"], ["key", "c_custkey"]).select("c_custkey", "no")
 
@@ -219,8 +228,8 @@ union all select o_orderkey, u.path from p join u using (name) where image not i
 """)
 def q46_attached_predictions(spark, sf):
     """Detections by path, else by a name that one image has."""
-    name = _text(KEY % 1000, ".jpg")
-    customers = table(spark, sf, "customer").select("c_custkey", F.concat(F.lit("/set/n"), NATION.cast("string"), F.lit("/"), name).alias("path"), name.alias("name"))
+    name = _text(custkey() % 1000, ".jpg")
+    customers = table(spark, sf, "customer").select("c_custkey", F.concat(F.lit("/set/n"), nationkey().cast("string"), F.lit("/"), name).alias("path"), name.alias("name"))
     orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     found = orders.join(customers, "c_custkey")
     image = F.when(F.col("o_orderkey") % 3 == 0, F.col("path")).otherwise(F.concat(F.lit("/elsewhere/"), "name"))
@@ -295,7 +304,7 @@ select c_custkey, (row_number() over (order by lower(c_name), c_custkey))::bigin
 """)
 def q51_lists_written_and_read(spark, sf):
     """A list written in order, read back by its files' names and line numbers."""
-    rows = table(spark, sf, "customer").select("c_custkey", F.lower("c_name").alias("n"), F.concat(F.lit("/a/"), KEY.cast("string"), F.lit(".jpg")).alias("path"))
+    rows = table(spark, sf, "customer").select("c_custkey", F.lower("c_name").alias("n"), F.concat(F.lit("/a/"), custkey().cast("string"), F.lit(".jpg")).alias("path"))
     where = scratch_path(spark, "list")
     sinks.write_list(rows, where, "path", ["n", "c_custkey"])
     back = readers.list_rows(spark, where)
@@ -307,7 +316,7 @@ def q51_lists_written_and_read(spark, sf):
 
 def _entries(spark, sf) -> DataFrame:
     return table(spark, sf, "customer").select(
-        F.when(KEY % 5 == 0, "val").otherwise("train").alias("split"), _text("images_cvat", NATION, "_dataset").alias("dataset"), _text("d/", KEY, ".jpg").alias("relative")
+        F.when(custkey() % 5 == 0, "val").otherwise("train").alias("split"), _text("images_cvat", nationkey(), "_dataset").alias("dataset"), _text("d/", custkey(), ".jpg").alias("relative")
     )
 
 
@@ -332,7 +341,7 @@ select c_custkey::varchar as stem, case when m in (1, 3) then case m when 1 then
   '/r/labels/train/' || c_custkey || '.txt' as destination, case m when 0 then 'missing' when 1 then 'ready' when 2 then 'ambiguous' else 'already_ok' end as status from f
 """)
 def q53_label_relocation(spark, sf):
-    stem, m = KEY.cast("string"), KEY % 4
+    stem, m = custkey().cast("string"), custkey() % 4
     rows = table(spark, sf, "customer")
     images = rows.select(stem.alias("stem"), F.concat(F.lit("train/"), stem, F.lit(".jpg")).alias("relative"))
     home = F.concat(F.lit("/r/labels/train/"), stem, F.lit(".txt"))
@@ -345,7 +354,7 @@ with f as (select case when c_custkey % 3 = 0 then '/out/' || c_mktsegment || '/
 select source, case when k % 3 = 0 then '/bak/_external/' || k || '.txt' else '/bak/a/' || k || '.txt' end as destination, 'ready' as status from f
 """)
 def q54_backup_plan(spark, sf):
-    path = F.when(KEY % 3 == 0, _text("/out/", SEGMENT, "/", KEY, ".txt")).otherwise(_text("/root/set/a/", KEY, ".txt"))
+    path = F.when(custkey() % 3 == 0, _text("/out/", mktsegment(), "/", custkey(), ".txt")).otherwise(_text("/root/set/a/", custkey(), ".txt"))
     return sinks.backup_plan(table(spark, sf, "customer").select(path.alias("path")), "/root/set", "/bak")
 
 
@@ -353,9 +362,9 @@ def q54_backup_plan(spark, sf):
 select 'l' || c_nationkey as file, count_if(c_custkey % 4 <> 0)::bigint as kept, count_if(c_custkey % 4 = 0)::bigint as removed from customer group by c_nationkey
 """)
 def q55_pruned_lists(spark, sf):
-    rows = table(spark, sf, "customer").select(_text("l", NATION).alias("file"), KEY.alias("line_no"), _text('"', KEY, '.jpg"').alias("original"))
+    rows = table(spark, sf, "customer").select(_text("l", nationkey()).alias("file"), custkey().alias("line_no"), _text('"', custkey(), '.jpg"').alias("original"))
     rows = rows.withColumn("normalized", paths.normalize_list_path("original"))
-    images = table(spark, sf, "customer").where(KEY % 4 != 0).select(_text(KEY, ".jpg").alias("path"))
+    images = table(spark, sf, "customer").where(custkey() % 4 != 0).select(_text(custkey(), ".jpg").alias("path"))
     pruned = sinks.pruned_list(rows, images)
     return pruned.groupBy("file").agg(F.count_if("kept").alias("kept"), F.count_if(~F.col("kept")).alias("removed"))
 
@@ -369,8 +378,8 @@ select 'dir/l' || c_nationkey || '.txt' as file, 'dir/l' || c_nationkey || '_aut
   array_to_string(any_value(e), ',') as examples from l left join e using (c_nationkey) group by c_nationkey
 """)
 def q56_rewritten_lists(spark, sf):
-    line = F.when(KEY % 3 == 0, _text("h:\\Old/", KEY, ".jpg")).otherwise(_text("/else/", KEY, ".jpg"))
-    rows = table(spark, sf, "customer").select(_text("dir/l", NATION, ".txt").alias("file"), KEY.cast("int").alias("line_no"), line.alias("original"))
+    line = F.when(custkey() % 3 == 0, _text("h:\\Old/", custkey(), ".jpg")).otherwise(_text("/else/", custkey(), ".jpg"))
+    rows = table(spark, sf, "customer").select(_text("dir/l", nationkey(), ".txt").alias("file"), custkey().cast("int").alias("line_no"), line.alias("original"))
     lines = sinks.rewritten_list(rows, "H:/old/", "/new/")
     counts = sinks.rewrite_counts(lines).join(lines.select("file", "output").distinct(), "file")
     return counts.select("file", "output", "changed", "unchanged", F.array_join("examples", ",").alias("examples"))
@@ -566,7 +575,7 @@ with f as (select c_custkey % 200 as stem, c_mktsegment || '/' || c_custkey as p
 select stem::varchar as stem, string_agg(path, ',' order by path) as paths from f group by stem
 """)
 def q68_stem_groups(spark, sf):
-    rows = table(spark, sf, "customer").select((KEY % 200).cast("string").alias("stem"), _text(SEGMENT, "/", KEY).alias("path"))
+    rows = table(spark, sf, "customer").select((custkey() % 200).cast("string").alias("stem"), _text(mktsegment(), "/", custkey()).alias("path"))
     return audit.stem_groups(rows).withColumn("paths", F.array_join("paths", ","))
 
 
@@ -589,7 +598,7 @@ def q70_lists_in_turn(spark, sf):
 @query("select c_custkey, c_mktsegment from customer where lower(c_mktsegment) in ('building', 'machinery') order by c_custkey limit 50")
 def q71_of_datasets(spark, sf):
     wanted = spark.createDataFrame([("Building",), ("MACHINERY",), ("none",)], "dataset string")
-    rows = audit.of_datasets(table(spark, sf, "customer").select("c_custkey", SEGMENT.alias("dataset")), wanted)
+    rows = audit.of_datasets(table(spark, sf, "customer").select("c_custkey", mktsegment().alias("dataset")), wanted)
     return audit.samples(rows, ["c_custkey"], 50).withColumnRenamed("dataset", "c_mktsegment")
 
 
@@ -599,10 +608,10 @@ d as (select distinct 'n' || c_nationkey as folder from customer union select di
 select folder, len(string_split(folder, '/'))::int as depth from d where not exists (select 1 from f where starts_with(path, folder || '/'))
 """)
 def q72_empty_folders(spark, sf):
-    top, sub = _text("n", NATION), _text("n", NATION, "/s", KEY % 5)
+    top, sub = _text("n", nationkey()), _text("n", nationkey(), "/s", custkey() % 5)
     rows = table(spark, sf, "customer")
     folders = rows.select(F.explode(F.array(top, sub)).alias("folder")).distinct()
-    files = rows.where((NATION % 3 != 0) & (KEY % 5 != 2)).select(F.concat(sub, F.lit("/"), KEY.cast("string")).alias("path"))
+    files = rows.where((nationkey() % 3 != 0) & (custkey() % 5 != 2)).select(F.concat(sub, F.lit("/"), custkey().cast("string")).alias("path"))
     return sinks.empty_folders(folders, files)
 
 
@@ -629,9 +638,9 @@ def q74_concat_list(spark, sf):
 select c_custkey as k, case when c_custkey % 6 = 0 then 'missing' when c_custkey % 6 = 1 then 'already_ok' when c_custkey % 6 = 2 then 'conflict' when c_custkey % 6 = 3 then 'already_ok' else 'ready' end as status from customer
 """)
 def q75_plan_status(spark, sf):
-    source, goal, m = _text("/s/", KEY), _text("/g/", KEY), KEY % 6
+    source, goal, m = _text("/s/", custkey()), _text("/g/", custkey()), custkey() % 6
     rows = table(spark, sf, "customer")
-    plan = rows.select(KEY.alias("k"), source.alias("source"), goal.alias("destination"))
+    plan = rows.select(custkey().alias("k"), source.alias("source"), goal.alias("destination"))
     here = rows.where(~m.isin(0, 1)).select(source.alias("path"), F.lit(10).alias("length"))
     there = rows.where(m.isin(1, 2, 3)).select(goal.alias("path"), F.when(m == 2, 99).otherwise(10).alias("length"))
     return sinks.plan_status(plan, here.unionByName(there)).select("k", "status")
@@ -660,7 +669,7 @@ def q77_frames_per_video(spark, sf):
 select lower('images_cvat' || c_nationkey || '_dataset') as key, 'images_cvat' || c_nationkey || '_DATASET' as dataset from customer group by all
 """)
 def q78_datasets(spark, sf):
-    path = F.when(KEY % 2 == 0, _text("/x/images_cvat", NATION, "_dataset/images/a.jpg")).otherwise(_text("/x/images_cvat", NATION, "_DATASET/images/a.jpg"))
+    path = F.when(custkey() % 2 == 0, _text("/x/images_cvat", nationkey(), "_dataset/images/a.jpg")).otherwise(_text("/x/images_cvat", nationkey(), "_DATASET/images/a.jpg"))
     rows = readers.datasets(table(spark, sf, "customer").select(path.alias("path")))
     return rows.select("key", F.upper(F.regexp_extract("dataset", "(_dataset)$|(_DATASET)$", 0)).alias("s"), "dataset").select(
         "key", F.concat(F.regexp_replace("dataset", "(?i)_dataset$", ""), F.lit("_DATASET")).alias("dataset")
@@ -709,8 +718,8 @@ select c_custkey, row_number() over (partition by c_nationkey order by c_custkey
 """)
 def q83_existing_rows(spark, sf):
     """Rows of lists whose image is there, numbered anew."""
-    rows = table(spark, sf, "customer").select("c_custkey", "c_nationkey", _text(KEY, ".jpg").alias("normalized"))
-    images = table(spark, sf, "customer").where(KEY % 3 != 0).select(_text(KEY, ".jpg").alias("path"))
+    rows = table(spark, sf, "customer").select("c_custkey", "c_nationkey", _text(custkey(), ".jpg").alias("normalized"))
+    images = table(spark, sf, "customer").where(custkey() % 3 != 0).select(_text(custkey(), ".jpg").alias("path"))
     return stats.numbered(readers.existing_rows(rows, images), ["c_nationkey"], ["c_custkey"], "line_no").select("c_custkey", "line_no")
 
 
