@@ -220,7 +220,7 @@ def q45_scaled_camera(spark, sf):
 
 @query("""
 with i as (select c_custkey, '/set/n' || c_nationkey || '/' || c_custkey % 1000 || '.jpg' as path, c_custkey % 1000 as name from customer),
-u as (select name, min(path) as path from i group by name having count(*) = 1),
+u as (select name, min(path) as path from (select distinct name, path from i) group by name having count(*) = 1),
 p as (select o_orderkey, case o_orderkey % 3 when 0 then '/set/n' || c_nationkey || '/' || c_custkey % 1000 || '.jpg' else '/elsewhere/' || c_custkey % 1000 || '.jpg' end as image,
   c_custkey % 1000 as name from orders join customer on o_custkey = c_custkey)
 select o_orderkey, image from p where image in (select path from i)
