@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions import geometry
+from quarry.functions import correlation, geometry
 from quarry.operators.components import components
 from quarry.tables import Table
 
@@ -84,8 +86,9 @@ def verified(pairs: DataFrame, features: DataFrame, key: str, vector: str, least
     )
 
 
-#: Rows of one (block, value) that a task pairs with the others; more are split.
-CROWD = 1024
+#: Rows of one hash, and hashes of one (block, value), that a task compares with
+#: others; more are split.
+CROWD = 4096
 
 
 def similar_pairs(
@@ -95,8 +98,10 @@ def similar_pairs(
     at most ``radius`` bits apart and whose vectors correlate well enough.
 
     Only rows equal in hash and vector join as one, by pairs with their smallest
-    id; every two that differ in either are verified.  A crowded block is split
-    over tasks.  Rows without hash or vector link with nothing."""
+    id.  Hashes with few rows give every link.  Those with many are cut into blocks:
+    each is searched from row to row, and then against every block of a near hash,
+    and a link counts if it joins what others of these two blocks don't.  Rows
+    without hash or vector link with nothing."""
     rows = df.where(F.col(bits).isNotNull() & F.col(vector).isNotNull()).select(
         F.col(key).alias("_key"), F.col(bits).alias("_h"), F.col(vector).alias("_v")
     )
@@ -105,24 +110,106 @@ def similar_pairs(
         rows.join(alike, ["_h", "_v"]).where("_key > first")
         .select(F.col("first").alias("a"), F.col("_key").alias("b"), F.lit(0).alias("distance"), F.lit(1.0).alias("correlation"))
     )
-    banded = Table(alike.select("_h", "first", F.inline(_blocks("_h", radius, width))), "blocks").df
+    hashes = Table(alike.groupBy("_h").agg(F.count("*").alias("n")), "hashes").df
+    near = Table(_near_hashes(hashes, radius, width), "near-hashes").df
+    few = F.greatest("n", "n2") <= CROWD // 256
+    plain = near.where(few).select("_h", "_h2", "distance")
+    plain = (
+        plain.join(alike.withColumnRenamed("first", "a").withColumnRenamed("_v", "v_a"), "_h")
+        .join(alike.toDF("_h2", "v_b", "b"), "_h2")
+        .where("_h <> _h2 or a < b")
+        .withColumn("correlation", geometry.correlation("v_a", "v_b")).where(F.col("correlation") >= least)
+    )
+    found = plain.select("a", "b", "distance", "correlation")
+    crowded = near.where(~few)
+    if crowded.head(1):
+        found = found.unionByName(_crowded_links(alike, crowded, least))
+    ordered = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance", "correlation")
+    return copies.unionByName(ordered)
+
+
+def _near_hashes(hashes: DataFrame, radius: int, width: int) -> DataFrame:
+    """``_h, n, _h2, n2, distance``, each pair once and each hash with itself.  A
+    crowded block is split over tasks."""
+    banded = Table(hashes.select("_h", "n", F.inline(_blocks("_h", radius, width))), "blocks").df
     crowds = banded.groupBy("block", "value").agg(F.ceil(F.count("*") / CROWD).cast("int").alias("_tasks"))
     crowds = Table(crowds, "crowds").df
-    placed = banded.withColumnsRenamed({"_h": "_h2", "first": "second"}).join(crowds, ["block", "value"])
-    right = placed.withColumn("_salt", F.pmod(F.xxhash64("second"), F.col("_tasks")).cast("int")).drop("_tasks")
+    placed = banded.withColumnsRenamed({"_h": "_h2", "n": "n2"}).join(crowds, ["block", "value"])
+    right = placed.withColumn("_salt", F.pmod(F.xxhash64("_h2"), F.col("_tasks")).cast("int")).drop("_tasks")
     # a probe goes to every part of a crowded block
     left = (
-        alike.select("_h", "first", F.inline(_probes("_h", radius, width))).join(crowds, ["block", "value"])
+        hashes.select("_h", "n", F.inline(_probes("_h", radius, width))).join(crowds, ["block", "value"])
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_tasks") - 1))).drop("_tasks")
     )
-    near = (
-        left.join(right, ["block", "value", "_salt"]).where("first < second")
+    return (
+        left.join(right, ["block", "value", "_salt"]).where("_h <= _h2")
         .where(F.col("block") == _first_block("_h", "_h2", radius, width))
         .withColumn("distance", geometry.hamming("_h", "_h2")).where(F.col("distance") <= radius)
-        .select(F.col("first").alias("a"), F.col("second").alias("b"), "distance")
+        .select("_h", "n", "_h2", "n2", "distance")
     )
-    kept = verified(near, alike, "first", "_v", least).select("a", "b", "distance", "correlation")
-    return copies.unionByName(kept)
+
+
+def _crowded_links(alike: DataFrame, near: DataFrame, least: float) -> DataFrame:
+    """Links between rows of near hashes, enough to group what all links would."""
+    wanted = near.select("_h", "n").union(near.select("_h2", "n2")).distinct()
+    rows = alike.join(wanted, "_h").withColumn(
+        "_p", F.pmod(F.xxhash64("first"), F.ceil(F.col("n") / CROWD)).cast("int")
+    ).select("_h", "_p", "first", "_v", "n")
+    kind = alike.schema["first"].dataType.simpleString()
+    added = f"label int, other {kind}, correlation double"
+    many = F.col("n") > CROWD // 256
+    plain = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("_h", "_p", "first", "_v"))
+    inner = rows.where(many).drop("n").groupBy("_h", "_p").applyInArrow(_inside(least), f"{plain}, {added}")
+    by_itself = (F.lit(-1).alias("label"), F.lit(None).cast(kind).alias("other"), F.lit(None).cast("double").alias("correlation"))
+    inner = Table(inner.unionByName(rows.where(~many).drop("n").select("*", *by_itself)), "searched").df
+    upto = lambda n: F.sequence(F.lit(0), F.ceil(F.col(n) / CROWD).cast("int") - 1)
+    tasks = (
+        near.withColumn("p1", F.explode(upto("n"))).withColumn("p2", F.explode(upto("n2")))
+        .where("_h < _h2 or p1 < p2").select("_h", "p1", "_h2", "p2", "distance")
+    )
+    tasks = Table(tasks.withColumn("task", F.monotonically_increasing_id()), "tasks").df
+    side = lambda n, h, p: (
+        tasks.select("task", "distance", F.col(h).alias("_h"), F.col(p).alias("_p"))
+        .join(inner, ["_h", "_p"]).select("task", "distance", F.lit(n).alias("side"), "first", "_v", "label")
+    )
+    # at most some pairs of blocks in a task, however few bytes they are
+    spread = min(max(tasks.count() // 4, 1), 20000)
+    met = side(0, "_h", "p1").unionByName(side(1, "_h2", "p2")).repartition(spread, "task")
+    across = met.groupBy("task").applyInArrow(_across(least), f"a {kind}, b {kind}, distance int, correlation double")
+    inner = inner.where("other is not null").select(
+        F.col("other").alias("a"), F.col("first").alias("b"), F.lit(0).alias("distance"), "correlation"
+    )
+    return inner.unionByName(across)
+
+
+def _inside(least: float):
+    """Rows of a block with a ``label`` per group and, but for the first of a group,
+    a row (``other``) that they correlate with."""
+
+    def search(table: pa.Table) -> pa.Table:
+        rows = correlation.Rows(table.column("_v"))
+        label, other, value = correlation.forest(rows, least)
+        first = table.column("first").combine_chunks()
+        other = pa.array(other, mask=other < 0)
+        return table.append_column("label", pa.array(label, pa.int32())).append_column("other", first.take(other)).append_column(
+            "correlation", pa.array(value, pa.float64(), mask=other.is_null().to_numpy(zero_copy_only=False))
+        )
+
+    return search
+
+
+def _across(least: float):
+    """Links between the two blocks of a task that join groups of theirs."""
+
+    def search(table: pa.Table) -> pa.Table:
+        side = table.column("side").to_numpy()
+        rows = correlation.Rows(table.column("_v"))
+        i, j, value = correlation.joining(rows, side, table.column("label").to_numpy(), least)
+        first = table.column("first").combine_chunks()
+        distance = pa.array(np.full(len(i), table.column("distance")[0].as_py()), pa.int32())
+        return pa.table([first.take(pa.array(i)), first.take(pa.array(j)), distance, pa.array(value, pa.float64())], ["a", "b", "distance", "correlation"])
+
+    return search
 
 
 def nearest(pairs: DataFrame, most: int) -> DataFrame:

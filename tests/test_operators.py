@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,3 +170,28 @@ def test_triage_groups_behind_another_histogram(spark):
         rows = [(f"/r/{i}.jpg", 640, 480, 100.0, 0.0, 0.0, 77, kinds["x" if i == odd else "y"]) for i in range(3)]
         got = {r.path: r.duplicate_group for r in triage(spark.createDataFrame(rows, schema), seen, "/r").collect()}
         assert [got[f"/r/{i}.jpg"] for i in range(3)] == [None if i == odd else 1 for i in range(3)]
+
+
+def test_similar_pairs_of_a_crowd(spark, monkeypatch):
+    """Few links group a crowd, of odd vectors too, as all links do."""
+    import numpy as np
+
+    from quarry.functions import correlation
+
+    monkeypatch.setattr(dedup, "CROWD", 64)
+    draw = np.random.default_rng(7)
+    vectors = draw.normal(size=(300, 6)).tolist()
+    vectors += [[0.1] * 6, [1.0, 2.0, 3.0], [1.0, 2.0, 3.5], [None, *vectors[0][1:]], [0.5] * 6]
+    rows = [(i, (3, 5, 3 << 40)[i % 3] if i < 280 else (1 << 40) - 1, v) for i, v in enumerate(vectors)]
+    pairs = dedup.similar_pairs(spark.createDataFrame(rows, "id long, h long, v array<double>"), "id", "h", "v", least=0.9)
+    got = [(r.a, r.b, r.correlation) for r in pairs.collect()]
+    exact = correlation.Rows(pa.array(vectors, pa.list_(pa.float64()))).exact
+    a, b = np.triu_indices(len(rows), 1)
+    links = {(int(x), int(y)): c for x, y, c in zip(a, b, exact(a, b)) if c >= 0.9 and (x < 280) == (y < 280)}
+    assert 200 < len(links) and all(links[x, y] == c for x, y, c in got)
+    assert brute_components([(x, y) for x, y, _ in got]) == brute_components(list(links))
+
+    crowd = [(i, 9, [float(i), 2.0 * i + 1, i + i % 7 / 8]) for i in range(500)]
+    got = dedup.similar_pairs(spark.createDataFrame(crowd, "id long, h long, v array<double>"), "id", "h", "v", least=0.0)
+    assert got.count() < 20 * len(crowd)
+    assert set(brute_components([(r.a, r.b) for r in got.collect()])) == set(range(500))
