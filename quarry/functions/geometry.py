@@ -61,7 +61,10 @@ def _intersection(p: str, q: str) -> str:
     side = "((b.x - a.x) * ({0}.y - a.y) - (b.y - a.y) * ({0}.x - a.x))"
     here, there = side.format("v"), side.format("u")
     at = f"({there} / ({there} - {here}))"
-    cross = f"named_struct('x', u.x + {at} * (v.x - u.x), 'y', u.y + {at} * (v.y - u.y))"
+    # on an upright or level edge the crossing has that edge's coordinate, to the last bit
+    cross = (
+        f"named_struct('x', if(b.x = a.x, a.x, u.x + {at} * (v.x - u.x)), 'y', if(b.y = a.y, a.y, u.y + {at} * (v.y - u.y)))"
+    )
     step = (
         f"case when {here} >= 0 and {there} >= 0 then array(v) "
         f"when {here} >= 0 then array({cross}, v) "
@@ -132,7 +135,9 @@ def _common_areas(p: np.ndarray, q: np.ndarray) -> np.ndarray:
         u, there = np.roll(p, 1, axis=1), np.roll(here, 1, axis=1)
         inside, crossed = here >= 0, (here >= 0) != (there >= 0)
         t = there / np.where(crossed, there - here, 1.0)
-        points = np.stack((u + t[..., None] * (p - u), p), axis=2).reshape(len(p), 2 * p.shape[1], 2)
+        # on an upright or level edge the crossing has that edge's coordinate, to the last bit
+        cross = np.where(edge == 0, a, u + t[..., None] * (p - u))
+        points = np.stack((cross, p), axis=2).reshape(len(p), 2 * p.shape[1], 2)
         left = np.stack((crossed, inside), axis=2).reshape(len(p), 2 * p.shape[1])
         order = np.argsort(~left, axis=1, kind="stable")[:, : max(int(left.sum(axis=1).max(initial=0)), 1)]
         points = np.take_along_axis(points, order[..., None], axis=1)

@@ -195,3 +195,16 @@ def test_similar_pairs_of_a_crowd(spark, monkeypatch):
     got = dedup.similar_pairs(spark.createDataFrame(crowd, "id long, h long, v array<double>"), "id", "h", "v", least=0.0)
     assert got.count() < 20 * len(crowd)
     assert set(brute_components([(r.a, r.b) for r in got.collect()])) == set(range(500))
+
+
+def test_overlap_at_its_limit(spark):
+    """270 of 1800 is 0.15 to the last bit, wherever the edges cross."""
+    from quarry.functions import geometry
+
+    rows = [("a", 1, 38.0, 0.0, 88.0, 55.0), ("a", 2, 7.0, 25.0, 47.0, 70.0)]
+    boxes = spark.createDataFrame(rows, "image string, index int, x1 double, y1 double, x2 double, y2 double")
+    boxes = boxes.withColumn("poly", geometry.aabb("x1", "y1", "x2", "y2"))
+    got = matching.pair_overlaps(boxes).first()
+    assert (got.pairs, got.overlapping, got.has_overlap, got.overlap_pair_ratio) == (1, 1, False, 1.0)
+    pair = boxes.where("index = 1").select(F.col("poly").alias("p")).join(boxes.where("index = 2").select(F.col("poly").alias("q")))
+    assert pair.select(geometry.intersection_area("p", "q"), geometry.intersection_area("q", "p")).first()[:] == (270.0, 270.0)
