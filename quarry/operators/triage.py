@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import paths
@@ -31,12 +31,17 @@ def quality_score() -> Column:
 
 
 def confidence_profile(pred: DataFrame, by: str) -> DataFrame:
-    """n_det, mean/min/max confidence and the shares of uncertain and very low ones."""
+    """n_det, mean/min/max confidence and the shares of uncertain and very low ones.
+
+    Confidences are added up from the smallest: a sum in the order in which rows come
+    differs in its last bit from run to run, and limits would decide by it."""
     share = lambda c: F.avg(c.cast("double"))
-    conf = F.col("conf")
-    return pred.groupBy(by).agg(
+    conf, w = F.col("conf"), Window.partitionBy(by).orderBy("conf")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    added = pred.select(by, "conf").withColumns({"_n": F.row_number().over(w), "_sum": F.sum("conf").over(upto)})
+    return added.groupBy(by).agg(
         F.count("*").alias("n_det"),
-        F.avg(conf).alias("mean_conf"), F.min(conf).alias("min_conf"), F.max(conf).alias("max_conf"),
+        F.try_divide(F.max_by("_sum", "_n"), F.count(conf)).alias("mean_conf"), F.min(conf).alias("min_conf"), F.max(conf).alias("max_conf"),
         share(conf.between(0.15, 0.55)).alias("uncertain_ratio"),
         share(conf < 0.15).alias("very_low_conf_ratio"),
     )

@@ -208,3 +208,21 @@ def test_overlap_at_its_limit(spark):
     assert (got.pairs, got.overlapping, got.has_overlap, got.overlap_pair_ratio) == (1, 1, False, 1.0)
     pair = boxes.where("index = 1").select(F.col("poly").alias("p")).join(boxes.where("index = 2").select(F.col("poly").alias("q")))
     assert pair.select(geometry.intersection_area("p", "q"), geometry.intersection_area("q", "p")).first()[:] == (270.0, 270.0)
+
+
+def test_mean_confidence_in_any_order(spark):
+    """A limit of 0.9 decides the same in whatever order the rows are added up."""
+    from itertools import permutations
+
+    nine = 0.09 * 10  # a bit less than 0.9
+    sets = [(0.8, 0.8, 1.0, 1.0), (0.8, nine, nine, 1.0), (nine,) * 6]
+    for conf in sets:
+        rows = [(f"{k}", c) for k, order in enumerate(sorted(set(permutations(conf)))) for c in order]
+        pred = spark.createDataFrame(rows, "image string, conf double").coalesce(1)
+        assert triage.confidence_profile(pred, "image").select("mean_conf").distinct().count() == 1
+    odd = [("nan", float("nan")), ("nan", 0.5), ("large", 1e30), ("large", 3e30), ("none", None), ("some", None), ("some", 0.25)]
+    got = triage.confidence_profile(spark.createDataFrame(odd, "image string, conf double"), "image").collect()
+    got = {r.image: r.mean_conf for r in got}
+    same = spark.createDataFrame([("i", nine)] * 6, "image string, conf double")  # every order gives 0.9
+    assert triage.confidence_profile(same, "image").first().mean_conf == 0.9
+    assert got["nan"] != got["nan"] and (got["large"], got["none"], got["some"]) == (2e30, None, 0.25)
